@@ -37,7 +37,8 @@ def group_mean_nunique(df: DataFrame, by: str, mean_of: str, nunique_of: str) ->
 def group_median_order(df: DataFrame, by: str, value: str) -> DataFrame:
     """Categories with their median, ranked by it (the box-plot order)."""
     med = df.groupBy(by).agg(F.median(value).alias("median_value"))
-    w = Window.orderBy("median_value", by)
+    # rank on the value rounded to 9 decimals so float noise cannot split ties
+    w = Window.orderBy(F.round("median_value", 9), by)
     return med.withColumn("position", F.row_number().over(w).cast("bigint"))
 
 
@@ -71,8 +72,13 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
              F.col("_q")[2].alias("q75"), "max")
 
 
+def pearson(x: str, y: str):
+    """Pearson r that is NULL (not an ANSI divide error) for a constant column."""
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def correlation_pair(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.agg(F.corr(x, y).alias("correlation"))
+    return df.agg(pearson(x, y).alias("correlation"))
 
 
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
@@ -82,7 +88,7 @@ def correlation_matrix(df: DataFrame, columns) -> DataFrame:
     the lower triangle is mirrored.  A constant column gives NULL.
     """
     pairs = list(combinations_with_replacement(list(columns), 2))
-    aggs = [F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
+    aggs = [pearson(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
     row = df.agg(*aggs)
     entries = []
     for i, (a, b) in enumerate(pairs):

@@ -50,7 +50,8 @@ def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            # relative nudge resolves exact ties the same way as the oracle
+            c = F.round(c.cast("double") * F.lit(1 + 1e-12), digits) + F.lit(0.0)
         elif isinstance(f.dataType, ArrayType):
             c = list_literal(c.cast("array<string>"))
         cols.append(c.alias(f.name))

@@ -11,8 +11,13 @@ from emolens.sources.fixtures import source_reviews_sql
 
 
 def r6(expr: str) -> str:
-    """Round a double the way the Spark side does (and turn -0.0 into 0.0)."""
-    return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
+    """Round a double the way the Spark side does (and turn -0.0 into 0.0).
+
+    Averages of one-decimal ratings are often exact binary fractions lying
+    on a rounding tie, where the two engines can differ by one ulp; a
+    relative nudge of 1e-12 (same on both sides) resolves ties identically.
+    """
+    return f"(round(CAST({expr} AS DOUBLE) * (1 + 1e-12), 6) + 0.0)"
 
 
 def trim(expr: str) -> str:
