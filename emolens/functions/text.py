@@ -29,19 +29,27 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters Python's str.strip()/str.isspace() treat as
+# whitespace, in code-point order.
+UNICODE_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                      "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                      "\u2028\u2029\u202f\u205f\u3000")
+
+
 def trim_unicode(c: ColumnOrName) -> Column:
     """Strip leading/trailing Unicode whitespace (tabs, NBSP included).
 
     ``F.trim`` only removes ASCII spaces, which is not what a Python
-    ``str.strip`` does.
+    ``str.strip`` does; ``btrim`` with the explicit set is a plain character
+    scan (no regular expression).
     """
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_col(c), F.lit(UNICODE_WHITESPACE))
 
 
 def blank_to_null(c: ColumnOrName) -> Column:
     """Whitespace-only strings become NULL; other values pass through."""
     c = _col(c)
-    return F.when(c.rlike(r"(?U)^\s*$"), F.lit(None).cast("string")).otherwise(c)
+    return F.when(trim_unicode(c) == "", F.lit(None).cast("string")).otherwise(c)
 
 
 def to_double(c: ColumnOrName) -> Column:
