@@ -43,7 +43,12 @@ def trim_unicode(c: ColumnOrName) -> Column:
     ``str.strip`` does; ``btrim`` with the explicit set is a plain character
     scan (no regular expression).
     """
-    return F.btrim(_col(c), F.lit(UNICODE_WHITESPACE))
+    c = _col(c)
+    ws = list(UNICODE_WHITESPACE)
+    # fast path: most values have no edge whitespace; two one-character
+    # hash-set probes decide whether the (slower) trim scan is needed
+    edge = F.substring(c, 1, 1).isin(ws) | F.substring(c, -1, 1).isin(ws)
+    return F.when(edge, F.btrim(c, F.lit(UNICODE_WHITESPACE))).otherwise(c)
 
 
 def blank_to_null(c: ColumnOrName) -> Column:

@@ -38,11 +38,19 @@ def weighted_score(rating: str = "rating_score", popularity: str = "popularity_s
 
 
 def score_catalogue(scored: DataFrame, predicted: str = "predicted_emotion") -> DataFrame:
-    """Add rating / popularity / recommendation scores to predicted rows."""
-    out = scored.withColumns({
-        "rating_score": min_max_score(scored, "mean_rating"),
-        "popularity_score": min_max_score(scored, "log_review_count"),
-    })
+    """Add rating / popularity / recommendation scores to predicted rows.
+
+    Both min/max pairs come from one scalar subquery (one extra scan)."""
+    b = scored.select(F.struct(
+        F.min("mean_rating").cast("double").alias("rlo"), F.max("mean_rating").cast("double").alias("rhi"),
+        F.min("log_review_count").cast("double").alias("plo"),
+        F.max("log_review_count").cast("double").alias("phi"))).scalar()
+
+    def mm(c, lo, hi):
+        return F.when(b[hi] == b[lo], F.lit(0.0)).otherwise((F.col(c) - b[lo]) / (b[hi] - b[lo]))
+
+    out = scored.withColumns({"rating_score": mm("mean_rating", "rlo", "rhi"),
+                              "popularity_score": mm("log_review_count", "plo", "phi")})
     return out.withColumn("recommendation_score", weighted_score())
 
 
