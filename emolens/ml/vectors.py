@@ -54,10 +54,12 @@ def svd_fit(train_vectors: DataFrame, k: int = 100, col: str = "features"):
 
 
 def svd_components_table(spark, index_rows, v) -> DataFrame:
-    """Long table (feature, component, weight) from the local V matrix."""
-    data = [(feat, j, float(v[i, j])) for feat, i in index_rows for j in range(v.shape[1])
-            if v[i, j] != 0.0]
-    return spark.createDataFrame(data, "feature string, component int, weight double")
+    """Long table (feature, component, weight) from the local V matrix:
+    one row per feature with its weight array, exploded by Spark."""
+    data = [(feat, [float(x) for x in v[i]]) for feat, i in index_rows]
+    rows = spark.createDataFrame(data, "feature string, w array<double>")
+    return (rows.select("feature", F.posexplode("w").alias("component", "weight"))
+            .where(F.col("weight") != 0.0))
 
 
 def svd_project(features: DataFrame, comps: DataFrame, docs: DataFrame, doc: str, k: int,

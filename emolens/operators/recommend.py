@@ -59,9 +59,15 @@ def genre_token(c: Column) -> Column:
     return F.replace(F.lower(trim_unicode(c)), F.lit(" "), F.lit("_"))
 
 
+def _ranked(c: str) -> Column:
+    """Rank on values rounded to 9 decimals: averages differ in the last
+    bits with summation order, which must not reorder equal scores."""
+    return F.round(F.col(c), 9)
+
+
 def _sort_key() -> Column:
     # best first: score desc, rating desc, then title and key as tie breakers
-    return F.struct((-F.col("recommendation_score")).alias("a"), (-F.col("mean_rating")).alias("b"),
+    return F.struct((-_ranked("recommendation_score")).alias("a"), (-_ranked("mean_rating")).alias("b"),
                     F.col("Description").alias("c"))
 
 
@@ -73,7 +79,7 @@ def dedup_keep_best(df: DataFrame, title: str = "movie_name", keys=()) -> DataFr
 
 
 def top_n(df: DataFrame, n: int) -> DataFrame:
-    return df.orderBy(F.desc("recommendation_score"), F.desc("mean_rating"),
+    return df.orderBy(_ranked("recommendation_score").desc(), _ranked("mean_rating").desc(),
                       F.asc("movie_name")).limit(int(n))
 
 
@@ -91,7 +97,12 @@ def recommend(catalogue: DataFrame, emotion: str, preferred_genre: str | None =
 
 def _answer(keys: DataFrame, catalogue: DataFrame, use_genre: bool) -> DataFrame:
     """Top-n per request key (label, genre, minimum_rating, n); genre ''
-    means no genre filter."""
+    means no genre filter.
+
+    The join key is the label, which has few values: the key table is tiny
+    (distinct request keys), so AQE broadcasts it at runtime and the
+    catalogue is never shuffled by label; if it is not broadcast, AQE's
+    skew-join splitting divides the hot label partitions."""
     cat = catalogue.withColumn("_label", F.lower("predicted_emotion"))
     cand = keys.join(cat, "_label")
     cond = F.col("mean_rating") >= F.col("minimum_rating")
@@ -101,8 +112,8 @@ def _answer(keys: DataFrame, catalogue: DataFrame, use_genre: bool) -> DataFrame
     cand = cand.where(cond)
     kcols = ["_label", "_genre", "minimum_rating", "n"]
     best = dedup_keep_best(cand.select(*kcols, *OUTPUT_COLUMNS, "Description"), "movie_name", kcols)
-    w = Window.partitionBy(*kcols).orderBy(F.desc("recommendation_score"), F.desc("mean_rating"),
-                                           F.asc("movie_name"))
+    w = Window.partitionBy(*kcols).orderBy(_ranked("recommendation_score").desc(),
+                                           _ranked("mean_rating").desc(), F.asc("movie_name"))
     ranked = best.withColumn("position", F.row_number().over(w))
     return ranked.where(F.col("position") <= F.col("n")).drop("Description")
 

@@ -9,8 +9,7 @@ them, with iteration counts kept moderate for the check runs.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -59,7 +58,8 @@ def _dense_sets(spark, sf, k=1500, balanced=True):
     kk = v.shape[1]
     dtr = cut_lineage(svd_project(f_tr, comps, trw, DOC, kk, "features"))
     dte = svd_project(f_te, comps, te.select(DOC, F.col(LABEL).alias("actual")), DOC, kk, "features")
-    return classes, dtr, dte, s, f_tr, tr.count(), kk
+    f_sel = f_tr.join(idx.select("feature"), "feature", "left_semi")
+    return classes, dtr, dte, s, f_sel, tr.count(), kk
 
 
 def _pred_out(preds):
@@ -160,8 +160,8 @@ def q_save_load(spark, sf):
     """Persist the fitted model in the checkpoint folder, reload it and
     predict again: both predictions per test row, side by side."""
     model, preds = _sparse_predictions(spark, sf, Candidate("logistic", {"C": 1.0, "max_iter": 50}))
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base.replace("file:", ""), "models", tempfile.mktemp(prefix="lr-", dir="")[0:])
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/models/lr-{uuid.uuid4().hex[:12]}"
     model.write().overwrite().save(path)
     from pyspark.ml.classification import LogisticRegressionModel
     again = LogisticRegressionModel.load(path)

@@ -289,3 +289,75 @@ def q_rating_range(spark, sf):
 def q_log1p(spark, sf):
     return _desc(spark, sf, "big").select("Description", "log_review_count",
                                           "log_unique_review_count")
+
+
+# ------------------------------------------- remaining inventory entries
+
+@register("require_columns", f'WITH raw AS ({RAW_REVIEWS_SQL}) SELECT ' + ", ".join(C.REQUIRED_COLUMNS) + " FROM raw")
+def q_require(spark, sf):
+    """The required-column check passes on the raw table (no job); the
+    checked columns are returned."""
+    return C.require_columns(raw_reviews(spark, sf)).select(*C.REQUIRED_COLUMNS)
+
+
+@register("nunique", _with("big") + " SELECT Description, emotion, movie_name_count, unique_review_count FROM described")
+def q_nunique(spark, sf):
+    """Distinct titles and distinct reviews per description."""
+    return describe_per_key(unique_reviews(reviews_big(spark, sf))).select(
+        "Description", "emotion", "movie_name_count", "unique_review_count")
+
+
+@register("median", _with("big") + f" SELECT Description, {r6('median_rating')} AS median_rating FROM described")
+def q_median(spark, sf):
+    """Exact (interpolated) median rating per description."""
+    return describe_per_key(unique_reviews(reviews_big(spark, sf))).select("Description", "median_rating")
+
+
+@register("group_size", _with() + " SELECT Description, review_count FROM described")
+def q_group_size(spark, sf):
+    """Rows per description, reviews that are NULL included."""
+    return describe_per_key(unique_reviews(raw_reviews(spark, sf))).select("Description", "review_count")
+
+
+@register("mean_min_max", _with("big") + f""" SELECT Description, {r6('mean_rating')} AS mean_rating,
+ {r6('minimum_rating')} AS minimum_rating, {r6('maximum_rating')} AS maximum_rating FROM described""")
+def q_mean_min_max(spark, sf):
+    return describe_per_key(unique_reviews(reviews_big(spark, sf))).select(
+        "Description", "mean_rating", "minimum_rating", "maximum_rating")
+
+
+@register("stable_sort", _with() + " SELECT emotion, movie_name, Description FROM descriptions")
+def q_stable_sort(spark, sf):
+    """Sink order (emotion, title, key): a range-partitioned distributed sort."""
+    from emolens.operators.describe import stable_sort
+    return stable_sort(_desc(spark, sf)).select("emotion", "movie_name", "Description")
+
+
+@register("inject_missing_demo", _with() + """, o AS (SELECT *, row_number() OVER (ORDER BY emotion, movie_name, Description) AS pos
+   FROM descriptions),
+ g AS (SELECT CASE WHEN pos = 1 THEN NULL ELSE mean_rating END AS mean_rating,
+   CASE WHEN pos = 2 THEN NULL ELSE genres_text END AS genres_text FROM o),
+ med AS (SELECT quantile_cont(mean_rating, 0.5) AS m FROM g),
+ mo AS (SELECT genres_text AS v FROM g WHERE genres_text IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+ SELECT CAST(count(*) FILTER (WHERE mean_rating IS NULL) + count(*) FILTER (WHERE genres_text IS NULL) AS BIGINT) AS missing_before,
+   CAST(count(*) FILTER (WHERE coalesce(mean_rating, (SELECT m FROM med)) IS NULL)
+      + count(*) FILTER (WHERE coalesce(genres_text, (SELECT v FROM mo)) IS NULL) AS BIGINT) AS missing_after FROM g""")
+def q_inject(spark, sf):
+    """Blank a rating on the first row and a genre on the second (sink
+    order), impute median / mode, recount missing values."""
+    from pyspark.sql import Window
+    from emolens.operators import features as X
+    d = _desc(spark, sf)
+    order = ["emotion", "movie_name", "Description"]
+    # the first two rows in sink order: a distributed top-2, then numbered
+    first2 = d.select(*order).orderBy(*order).limit(2)
+    first2 = first2.withColumn("_p", F.row_number().over(Window.orderBy(*order)))
+    g = d.join(F.broadcast(first2), order, "left").select(
+        F.when(F.col("_p") == 1, F.lit(None).cast("double")).otherwise(F.col("mean_rating")).alias("mean_rating"),
+        F.when(F.col("_p") == 2, F.lit(None).cast("string")).otherwise(F.col("genres_text")).alias("genres_text"))
+    fixed = X.impute_mode(X.impute_median(g, ["mean_rating"], g), "genres_text", g)
+    before = g.select((F.count_if(F.col("mean_rating").isNull()) + F.count_if(F.col("genres_text").isNull()))
+                      .alias("missing_before"))
+    after = fixed.select((F.count_if(F.col("mean_rating").isNull()) + F.count_if(F.col("genres_text").isNull()))
+                         .alias("missing_after"))
+    return before.select("missing_before", after.select("missing_after").scalar().alias("missing_after"))

@@ -85,7 +85,7 @@ def q_score(spark, sf):
 @register("dedup_keep_best", CAT_SQL + f""" SELECT predicted_emotion, movie_name, Description,
  {r6('recommendation_score')} AS recommendation_score FROM cat
  QUALIFY row_number() OVER (PARTITION BY predicted_emotion, movie_name
-   ORDER BY recommendation_score DESC, mean_rating DESC, Description) = 1""")
+   ORDER BY round(recommendation_score, 9) DESC, round(mean_rating, 9) DESC, Description) = 1""")
 def q_dedup_best(spark, sf):
     """Best row per (label, title): score, then rating, then key."""
     best = R.dedup_keep_best(catalogue(spark, sf), "movie_name", ("predicted_emotion",))
@@ -93,18 +93,18 @@ def q_dedup_best(spark, sf):
 
 
 @register("top_n", CAT_SQL + f""" SELECT Description, {r6('recommendation_score')} AS recommendation_score FROM cat
- ORDER BY recommendation_score DESC, mean_rating DESC, movie_name, Description LIMIT 10""")
+ ORDER BY round(recommendation_score, 9) DESC, round(mean_rating, 9) DESC, movie_name, Description LIMIT 10""")
 def q_top_n(spark, sf):
     c = catalogue(spark, sf)
-    return c.orderBy(F.desc("recommendation_score"), F.desc("mean_rating"), "movie_name",
-                     "Description").limit(10).select("Description", "recommendation_score")
+    return c.orderBy(F.round("recommendation_score", 9).desc(), F.round("mean_rating", 9).desc(),
+                     "movie_name", "Description").limit(10).select("Description", "recommendation_score")
 
 
 @register("recommend", CAT_SQL + f""", f AS (SELECT * FROM cat WHERE lower(predicted_emotion) = 'promo'
    AND mean_rating >= 5.0 AND list_contains(string_split(genres_text, ' '), 'red')),
  b AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY movie_name
-   ORDER BY recommendation_score DESC, mean_rating DESC, Description) = 1)
- SELECT {OUT6} FROM b ORDER BY recommendation_score DESC, mean_rating DESC, movie_name LIMIT 10""")
+   ORDER BY round(recommendation_score, 9) DESC, round(mean_rating, 9) DESC, Description) = 1)
+ SELECT {OUT6} FROM b ORDER BY round(recommendation_score, 9) DESC, round(mean_rating, 9) DESC, movie_name LIMIT 10""")
 def q_recommend(spark, sf):
     """One request: label 'promo', genre 'Red', minimum rating 5, top 10."""
     return R.recommend(catalogue(spark, sf), "Promo", "Red", 5.0, 10)
@@ -115,9 +115,9 @@ def _batch_sql(fallback: bool) -> str:
  cand AS (SELECT k.*, c.* FROM {keys} k JOIN cat c ON lower(c.predicted_emotion) = k.lbl
    WHERE c.mean_rating >= k.minimum_rating {genre}),
  best AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY lbl, g, minimum_rating, n, movie_name
-   ORDER BY recommendation_score DESC, mean_rating DESC, Description) = 1),
+   ORDER BY round(recommendation_score, 9) DESC, round(mean_rating, 9) DESC, Description) = 1),
  top AS (SELECT *, row_number() OVER (PARTITION BY lbl, g, minimum_rating, n
-   ORDER BY recommendation_score DESC, mean_rating DESC, movie_name) AS position FROM best
+   ORDER BY round(recommendation_score, 9) DESC, round(mean_rating, 9) DESC, movie_name) AS position FROM best
    QUALIFY position <= n)"""
     sql = CAT_SQL + REQ_SQL + ", keys AS (SELECT DISTINCT lbl, g, minimum_rating, n FROM rk)," + ans.format(
         keys="keys", genre="AND (k.g = '' OR list_contains(string_split(c.genres_text, ' '), k.g))") + """,
