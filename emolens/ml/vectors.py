@@ -42,15 +42,24 @@ def to_sparse(features: DataFrame, index: DataFrame, docs: DataFrame, doc: str,
 
 def svd_fit(train_vectors: DataFrame, k: int = 100, col: str = "features"):
     """Right singular vectors V (n x k) and singular values of the uncentred
-    training matrix (driver-side results are bounded by n_features x k)."""
+    training matrix.
+
+    The n x n Gramian X^T X is one distributed tree aggregate (n is the
+    number of selected features, bounded by the selection's k); its
+    eigendecomposition on the driver gives V and s = sqrt(eigenvalues) —
+    the local-eigs route, instead of one Spark job per ARPACK iteration."""
+    import numpy as np
     from pyspark.mllib.linalg import Vectors as MLLibVectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
     rows = train_vectors.select(col).rdd.map(lambda r: MLLibVectors.fromML(r[0]))
-    n = train_vectors.select(col).first()[0].size
+    gram = RowMatrix(rows).computeGramianMatrix().toArray()
+    n = gram.shape[0]
     k = min(k, n - 1)
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    return svd.V.toArray(), svd.s.toArray()
+    vals, vecs = np.linalg.eigh(gram)
+    order = np.argsort(vals)[::-1][:k]
+    s = np.sqrt(np.clip(vals[order], 0.0, None))
+    return vecs[:, order], s
 
 
 def svd_components_table(spark, index_rows, v) -> DataFrame:

@@ -117,3 +117,17 @@ def test_naive_bayes_matches_brute_force(spark):
         jll = Xm[:, cols] @ flp.T + prior
         expected = {f"d{i}": classes[int(np.argmax(jll[i]))] for i in range(n_docs)}
         assert got == expected
+
+
+def test_svd_fit_matches_numpy(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from emolens.ml.vectors import svd_fit
+
+    rng = np.random.default_rng(3)
+    M = rng.random((40, 12)) * (rng.random((40, 12)) < 0.4)
+    df = spark.createDataFrame([(Vectors.dense(r.tolist()),) for r in M], ["features"])
+    v, s = svd_fit(df, 5)
+    expected = np.linalg.svd(M, compute_uv=False)[:5]
+    assert np.allclose(s, expected, rtol=1e-8)
+    assert np.allclose(v.T @ v, np.eye(5), atol=1e-8)
