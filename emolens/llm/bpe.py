@@ -40,7 +40,7 @@ SUFFIX = "</w>"
 CACHE = 300_000
 
 #: The white space of the pattern's \s, as a character class.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WHITE = regex.compile(f"[{_SPACE}]+")
 _PIECES = regex.compile(WORD_PATTERN.replace(r"\s", _SPACE)).findall
 

@@ -7,13 +7,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emolens.llm import bpe, rules
+from emolens.llm import bpe, packing, rules, warc
 from emolens.llm.registry import register, table
 
+_OP3_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+g AS (SELECT h, max(page_id) AS keep FROM p WHERE n >= 1000 GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN keep IS NOT NULL AND keep <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keep <> page_id THEN keep END AS refers_to
+FROM p LEFT JOIN g ON p.h = g.h AND n >= 1000
+"""
+
+
+@register("op3_warc_round_trip", _OP3_SQL)
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 #: The tokenizer file of the tokenising operators.
 VOCABULARY = "word_bpe_49k.json"
 
 
+@register("op1_pack_sequences")
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_checksums(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)))
+
+
 @register("op6_bpe_round_trip")
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
