@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emolens.llm import bpe, line_dedup, packing, rules, topk, warc
+from emolens.llm import bpe, line_dedup, ngram_join, packing, rules, topk, warc
 from emolens.llm.registry import register, table
 
 _OP3_SQL = """
@@ -66,6 +66,11 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+@register("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 _OP10_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
