@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emolens.llm import bpe, line_dedup, ngram_join, packing, pii, rules, topk, warc
+from emolens.llm import bpe, line_dedup, ngram_join, packing, pii, rules, suffix, topk, warc
 from emolens.llm.registry import register, table
 
 _OP3_SQL = """
@@ -66,6 +66,11 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+@register("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
 @register("op8_surrogates")
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
