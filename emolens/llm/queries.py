@@ -7,9 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emolens.llm import bpe, line_dedup, ngram_join, packing, pii, rules, suffix, topk, warc
+from emolens.llm import bpe, html_template, line_dedup, ngram_join, packing, pii, rules, suffix, topk, warc
 from emolens.llm.registry import register, table
 
+@register("op2_main_text")
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 _OP3_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
