@@ -27,35 +27,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emolens.llm.common import WORD, free_name, text_or_empty, written
+from emolens.llm.common import free_name, text_or_empty, written
 
-#: A boundary follows a line when the rolling hash over it and the line
+#: A boundary lies before a line when the rolling hash over it and the line
 #: before is 0 modulo this: chunks have about so many lines.
 MODULUS = 3
-
-
-def boundaries(lines: Column, modulus: int = MODULUS) -> Column:
-    """Indexes (from 0) of the lines that end a chunk; the last line does."""
-    hashes = F.transform(lines, lambda x: F.xxhash64(x))
-    previous = F.concat(F.array(F.lit(0).cast("long")), F.slice(hashes, 1, F.size(hashes) - 1))
-    rolled = F.zip_with(previous, hashes, lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(modulus)))
-    ends = F.transform(rolled, lambda x, i: F.when((x == 0) | (i == F.size(lines) - 1), i))
-    return F.filter(ends, lambda x: x.isNotNull())
+#: Two lines with a word at least; anchored and possessive, so one pass.
+SEVERAL = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D][^\n]*+\n[\x20\x09-\x0D]*+[^\x20\x09-\x0D]"
 
 
 def chunks(text: Column, modulus: int = MODULUS) -> Column:
-    """Array of chunks, each an array of lines; joined again by line ends
-    they are the text."""
+    """Array of chunks; joined again by line ends they are the text.
+
+    Every line but the first is led by a flag (1: a chunk begins).  Lines hold
+    no line end, so a line end and a 1 mark a boundary and nothing else does;
+    the text is split there and the other flags taken out.  Every step is one
+    pass over the text."""
     lines = F.split(text, "\n", -1)
-    ends = boundaries(lines, modulus)
-    return F.transform(ends, lambda e, i: F.slice(
-        lines, F.when(i == 0, F.lit(1)).otherwise(F.element_at(ends, i) + 2).cast("int"),
-        (e - F.when(i == 0, F.lit(-1)).otherwise(F.element_at(ends, i))).cast("int")))
+    n = F.size(lines) - 1
+    flagged = F.zip_with(F.slice(lines, F.lit(1), n), F.slice(lines, F.lit(2), n), lambda a, b: F.concat(
+        F.when(F.pmod(F.xxhash64(F.xxhash64(a), F.xxhash64(b)), F.lit(modulus)) == 0, "1").otherwise("0"), b))
+    joined = F.array_join(F.concat(F.slice(lines, 1, 1), flagged), "\n")
+    return F.transform(F.split(joined, "\n1", -1), lambda c: F.replace(c, F.lit("\n0"), F.lit("\n")))
 
 
-def _several(chunk: Column) -> Column:
-    """Two lines with a word at least."""
-    return F.size(F.filter(chunk, lambda x: x.rlike(WORD))) >= 2
+def _chosen(text: Column, places: Column, modulus: int) -> Column:
+    """(i, chunk) of the chunks at some places."""
+    marked = F.transform(chunks(text, modulus), lambda c, i: F.when(
+        F.array_contains(places, i.cast("int")), F.struct(i.cast("int").alias("i"), c.alias("chunk"))))
+    return F.filter(marked, lambda x: x.isNotNull())
 
 
 def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", modulus: int = MODULUS,
@@ -69,7 +69,7 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
     # a text of one line has no chunk of several
     with_lines = whole.where(F.col(text).isNotNull() & F.col(t).contains("\n")).select(key, d, t)
     places = (with_lines.select(key, d, F.posexplode(F.transform(
-        chunks(F.col(t), modulus), lambda c: F.when(_several(c), F.xxhash64(F.array_join(c, "\n"))))).alias(pos, h))
+        chunks(F.col(t), modulus), lambda c: F.when(c.rlike(SEVERAL), F.xxhash64(c)))).alias(pos, h))
         .where(F.col(h).isNotNull()))
     places = written(places, "chunks")
     repeated = places.groupBy(h).agg(F.count("*").alias("n")).where("n > 1").select(h)
@@ -79,16 +79,15 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
         return F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{key}")) & (F.col(f"{a}.{d}") == F.col(f"{b}.{d}"))
 
     suspects = (with_lines.alias("a").join(of_document.alias("b"), same("a", "b"))
-                .select(F.col(f"a.{key}").alias(key), F.col(f"a.{d}").alias(d), chunks(F.col(f"a.{t}"), modulus).alias("c"),
-                        F.explode(f"b.{pos}").alias(pos))
-                .select(key, d, pos, F.array_join(F.element_at("c", F.col(pos) + 1), "\n").alias("chunk")))
+                .select(F.col(f"a.{key}").alias(key), F.col(f"a.{d}").alias(d), F.explode(_chosen(F.col(f"a.{t}"), F.col(f"b.{pos}"), modulus)).alias("c"))
+                .select(key, d, F.col("c.i").alias(pos), F.col("c.chunk").alias("chunk")))
     suspects = written(suspects, "suspects")
     place = F.struct(F.col(key), F.col(d), F.col(pos))
     first = suspects.groupBy("chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = (suspects.join(first, "chunk").where(F.col("first") < place)
              .groupBy(key, d).agg(F.collect_set(pos).alias(drop)))
     kept = F.filter(F.transform(chunks(F.col(f"a.{t}"), modulus), lambda c, i: F.when(
-        ~F.array_contains(F.col(f"b.{drop}"), i.cast("int")), F.array_join(c, "\n"))), lambda x: x.isNotNull())
+        ~F.array_contains(F.col(f"b.{drop}"), i.cast("int")), c)), lambda x: x.isNotNull())
     new = F.when(F.col(f"b.{drop}").isNull(), F.col(f"a.{text}")).otherwise(F.array_join(kept, "\n"))
     out = [(new if c == text else F.col(f"a.{c}")).alias(c) for c in docs.columns]
     if removed:
