@@ -77,6 +77,17 @@ def policy_mask(policy: str | tuple[str, ...]) -> int:
 _word, _letter = re.compile(WORD).findall, re.compile(r"[^\W\d_]").search
 
 
+def _window_keys(ids: np.ndarray, doc: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of each window of ``k`` words and its document."""
+    n = len(ids) - k + 1
+    key = doc[:n].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    for j in range(k):
+        x = ids[j:j + n].astype(np.uint64) + np.uint64(1)
+        x = (x ^ (x << np.uint64(31))) * np.uint64((0x9E3779B97F4A7C15 * (2 * j + 3)) & (2**64 - 1))
+        key += x ^ (x >> np.uint64(29))
+    return key
+
+
 def _repeated(ids: np.ndarray, doc: np.ndarray, k: int = WINDOW) -> np.ndarray:
     """Marks words inside a window of ``k`` words that occurs twice or more
     in the same document.  Windows are sorted by a hash and equal neighbours
@@ -85,11 +96,7 @@ def _repeated(ids: np.ndarray, doc: np.ndarray, k: int = WINDOW) -> np.ndarray:
     n = len(ids) - k + 1
     if n < 2:
         return covered
-    key = doc[:n].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    for j in range(k):
-        x = ids[j:j + n].astype(np.uint64) + np.uint64(1)
-        x = (x ^ (x << np.uint64(31))) * np.uint64((0x9E3779B97F4A7C15 * (2 * j + 3)) & (2**64 - 1))
-        key += x ^ (x >> np.uint64(29))
+    key = _window_keys(ids, doc, k)
     at = np.flatnonzero(doc[:n] == doc[k - 1:])
     order = at[np.argsort(key[at], kind="stable")]
     same = key[order[1:]] == key[order[:-1]]
