@@ -58,25 +58,36 @@ def blank_to_null(c: ColumnOrName) -> Column:
 
 
 def to_double(c: ColumnOrName) -> Column:
-    """Coerce to double; unparsable text and NaN become NULL (never raises)."""
-    d = _col(c).try_cast("double")
+    """Coerce to double; unparsable text and NaN become NULL (never raises).
+
+    Text must look like a number: the cast alone also takes Java's type
+    suffixes (``5d``, ``5f``)."""
+    c = _col(c)
+    d = F.when(c.cast("string").rlike(NUMERIC_TEXT), c.try_cast("double"))
     return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
+#: A decimal number, with exponent or not, or an infinity.
+NUMERIC_TEXT = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?))\s*$"
+
+#: An item of a flat list literal, and the whole list.
+_ITEM = r"""(?:'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|None|True|False|[+-]?[0-9][0-9.eE+-]*+)"""
+_LIST = rf"^\s*+\[\s*+(?:{_ITEM}\s*+(?:,\s*+{_ITEM}\s*+)*+(?:,\s*+)?+)?+\]\s*+$"
+
+
 def parse_list_literal(c: ColumnOrName) -> Column:
     """``"['Drama', 'Romance']"`` -> ``array('Drama', 'Romance')``.
 
-    NULL, malformed or non-list text gives an empty array; items are trimmed
-    and blank items dropped.  The JSON reader accepts single quotes, which
-    covers the list-literal spelling.
+    The whole text must be a flat list of quoted strings, numbers, ``None``,
+    ``True`` or ``False`` (a comma may follow the last item); NULL, anything
+    else and nested lists give an empty array.  Items are read as text,
+    trimmed, and blank ones dropped.
     """
-    parsed = F.from_json(
-        _col(c), "array<string>",
-        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
-         "mode": "PERMISSIVE"},
-    )
-    items = F.transform(F.coalesce(parsed, F.array().cast("array<string>")),
-                        lambda x: trim_unicode(x))
+    c = _col(c)
+    raw = F.when(c.rlike(_LIST), F.regexp_extract_all(c, F.lit(_ITEM), F.lit(0)))
+    inner = lambda x: F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1")
+    parsed = F.transform(raw, lambda x: F.when(F.substring(x, 1, 1).isin("'", '"'), inner(x)).otherwise(x))
+    items = F.transform(F.coalesce(parsed, F.array().cast("array<string>")), lambda x: trim_unicode(x))
     return F.filter(items, lambda x: x.isNotNull() & (x != ""))
 
 

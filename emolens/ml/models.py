@@ -8,10 +8,12 @@ Gaps against the source's library, stated once here:
   intercept (the source used squared hinge with a penalised intercept);
 * Naive Bayes: the long-form model in ``naive_bayes.py`` is the exact one
   (uniform prior supported); ``ml.NaiveBayes`` smooths the prior;
-* trees: Spark caps depth at 30 (40 / unlimited become 30), splits are on
+* trees: Spark caps depth at 30: no depth means 30, a larger one is an
+  error, so that two candidates are never silently the same fit; splits are on
   binned thresholds and ``minInstancesPerNode`` is a leaf minimum;
 * MLP: sigmoid hidden layers, no L2 / activation / early-stopping options —
-  its grid is layers x step size x iterations.
+  its grid is layers x iterations, and a step size where one is named
+  (gradient descent; the default L-BFGS has none).
 """
 
 from __future__ import annotations
@@ -37,6 +39,14 @@ class Candidate:
         return self.family + "(" + ", ".join(f"{k}={v}" for k, v in sorted(self.params.items())) + ")"
 
 
+def tree_depth(params: dict) -> int:
+    """The depth of a tree candidate; Spark has no deeper trees than 30."""
+    depth = int(params.get("max_depth") or MAX_TREE_DEPTH)
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {depth}: Spark's trees end at depth {MAX_TREE_DEPTH}")
+    return depth
+
+
 def make_estimator(c: Candidate, n_features: int, n_classes: int, weight_sum: float = 1.0):
     p = dict(c.params)
     w = "weight"
@@ -51,22 +61,20 @@ def make_estimator(c: Candidate, n_features: int, n_classes: int, weight_sum: fl
                         maxIter=int(p.get("max_iter", 50)), weightCol=w)
         return OneVsRest(classifier=svc, weightCol=w)
     if c.family == "decision_tree":
-        depth = p.get("max_depth") or MAX_TREE_DEPTH
         return DecisionTreeClassifier(impurity=p.get("criterion", "gini"),
-                                      maxDepth=min(int(depth), MAX_TREE_DEPTH),
+                                      maxDepth=tree_depth(p),
                                       minInstancesPerNode=int(p.get("min_samples", 1)),
                                       weightCol=w, seed=42)
     if c.family == "random_forest":
-        depth = p.get("max_depth") or MAX_TREE_DEPTH
         return RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)),
-                                      maxDepth=min(int(depth), MAX_TREE_DEPTH),
+                                      maxDepth=tree_depth(p),
                                       featureSubsetStrategy=p.get("max_features", "sqrt"),
                                       weightCol=w, seed=42)
     if c.family == "mlp":
         hidden = list(p.get("hidden", (100,)))
-        return MultilayerPerceptronClassifier(layers=[n_features, *hidden, n_classes],
-                                              maxIter=int(p.get("max_iter", 100)),
-                                              stepSize=float(p.get("lr", 0.03)), seed=42)
+        mlp = MultilayerPerceptronClassifier(layers=[n_features, *hidden, n_classes],
+                                             maxIter=int(p.get("max_iter", 300)), seed=42)
+        return mlp.setSolver("gd").setStepSize(float(p["lr"])) if "lr" in p else mlp
     raise ValueError(f"unknown family {c.family}")
 
 

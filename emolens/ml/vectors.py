@@ -55,7 +55,8 @@ def svd_fit(train_vectors: DataFrame, k: int = 100, col: str = "features"):
     rows = train_vectors.select(col).rdd.map(lambda r: MLLibVectors.fromML(r[0]))
     gram = RowMatrix(rows).computeGramianMatrix().toArray()
     n = gram.shape[0]
-    k = min(k, n - 1)
+    if k >= n:
+        raise ValueError(f"{k} components need more than {k} features; there are {n}")
     vals, vecs = np.linalg.eigh(gram)
     order = np.argsort(vals)[::-1][:k]
     s = np.sqrt(np.clip(vals[order], 0.0, None))

@@ -83,9 +83,16 @@ def derive_features(desc: DataFrame) -> DataFrame:
 
 
 def list_literal(arr) -> "F.Column":
-    """Render an array the way the source writes lists: ``['a', 'b']``."""
-    return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
-                    F.lit("]"))
+    """Render an array the way the source writes lists: ``['a', 'b']``.
+
+    An item that holds an apostrophe and no double quote is put in double
+    quotes; otherwise apostrophes are escaped, as are backslashes."""
+    def quoted(x):
+        plain = F.replace(x, F.lit("\\"), F.lit("\\\\"))
+        return F.when(F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"')), F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(
+            F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, quoted), ", "), F.lit("]"))
 
 
 def stable_sort(desc: DataFrame) -> DataFrame:

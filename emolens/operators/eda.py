@@ -73,8 +73,11 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
 
 
 def pearson(x: str, y: str):
-    """Pearson r that is NULL (not an ANSI divide error) for a constant column."""
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    """Pearson r over the rows that have both values; NULL (not an ANSI
+    divide error) for a constant column."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(both, F.col(x)), F.when(both, F.col(y))
+    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
 
 
 def correlation_pair(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -8,10 +8,10 @@ aggregate jobs that the caller may request.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from emolens.operators.clean import (assert_no_conflicts, clean_reviews, drop_missing_required,
-                                     exact_dedup, exclude_class, range_filter,
-                                     validate_processed)
+                                     exact_dedup, range_filter, validate_processed)
 from emolens.operators.describe import derive_features, describe_per_key
 
 
@@ -40,6 +40,8 @@ def prepare_descriptions(raw: DataFrame, label: str = "emotion", *,
     return desc
 
 
-def modelling_table(desc: DataFrame, excluded="surprise", label: str = "emotion") -> DataFrame:
-    """Description table without the class(es) too small to model."""
-    return exclude_class(desc, excluded, label)
+def modelling_table(desc: DataFrame, min_class_size: int = 5, label: str = "emotion") -> DataFrame:
+    """Description table without the classes that have fewer rows than
+    ``min_class_size`` (the number of folds): they cannot be stratified."""
+    sizes = desc.groupBy(label).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < min_class_size)
+    return desc.join(sizes.select(label), label, "left_anti").select(*desc.columns)

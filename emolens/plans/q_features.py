@@ -14,7 +14,7 @@ from emolens.operators.describe import NUMERIC_FEATURES
 from emolens.plans.catalog import register
 from emolens.plans.prepare import modelling_table
 from emolens.plans.q_prep import _desc, _with
-from emolens.plans.sql_model import (EXCLUDED, chi2_ctes, features_ctes, nb_ctes, numeric_ctes,
+from emolens.plans.sql_model import (chi2_ctes, features_ctes, nb_ctes, numeric_ctes,
                                      split_ctes, text_ctes)
 from emolens.plans.sqlparts import cleaned_ctes, r6
 from emolens.session import cut_lineage
@@ -25,7 +25,7 @@ K_BEST = 1500
 
 
 def modelling(spark, sf):
-    return modelling_table(_desc(spark, sf), EXCLUDED).withColumn(DOC, F.md5(KEY))
+    return modelling_table(_desc(spark, sf)).withColumn(DOC, F.md5(KEY))
 
 
 def split_table(spark, sf):

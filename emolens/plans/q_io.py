@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from emolens.plans.catalog import register
 from emolens.plans.q_eval import _metrics_long_sql, metrics_long
 from emolens.plans.q_prep import DESCRIPTION_SELECT, _desc, _with  # noqa: F401
+from emolens.plans.q_recommend import _batch_sql
 from emolens.plans.sqlparts import list_literal as sql_list_literal
 from emolens.plans.sqlparts import r6
 from emolens.session import ensure_checkpoint_dir
@@ -86,11 +87,10 @@ def q_write_results(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("recommend_stream")
+@register("recommend_stream", _batch_sql(True))
 def q_stream(spark, sf):
     """Benchmark texts as a file stream of requests, answered per
     micro-batch against the materialised catalogue; returns the sink."""
-    from emolens.plans.q_recommend import requests as to_requests_fn  # noqa: F401
     from emolens.plans.q_recommend import LABELS, served_catalogue
     from emolens.streaming.requests import serve_requests
 
@@ -109,5 +109,7 @@ def q_stream(spark, sf):
     sink, ckpt = scratch(spark, "stream-sink"), scratch(spark, "stream-ckpt")
     q = serve_requests(spark, sf, schema, to_requests, served_catalogue(spark, sf), sink, ckpt,
                        glob="benchmark.parquet")
-    q.awaitTermination(600)
-    return spark.read.parquet(sink)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(sink).drop("batch_id").withColumn("position", F.col("position").cast("int"))

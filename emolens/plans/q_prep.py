@@ -10,15 +10,15 @@ from emolens.operators import clean as C
 from emolens.operators.describe import describe_per_key
 from emolens.operators.eda import missing_audit, profile_counts
 from emolens.plans.catalog import register
-from emolens.plans.prepare import modelling_table, prepare_descriptions, unique_reviews
+from emolens.plans.prepare import prepare_descriptions, unique_reviews
 from emolens.plans.sqlparts import (DESCRIPTION_SELECT, GENRE_LIST, blank, cleaned_ctes,
                                     descriptions_ctes, list_literal, r6, trim)
-from emolens.session import cut_lineage
+from emolens.session import cut_lineage, folder_stamp
 from emolens.sources.fixtures import RAW_REVIEWS_SQL, raw_reviews, reviews_big, table
 
 RAW_COLS = ["Ratings", "Reviews", "movie_name", "Resenhas", "genres", "Description", "emotion"]
 TEXT = ["Reviews", "movie_name", "Resenhas", "genres", "Description"]
-# the class the stand-in excludes from modelling (its smallest class)
+# the class that the exclude_class query removes by name
 EXCLUDED = "es"
 
 
@@ -36,8 +36,8 @@ def _desc(spark, sf, kind="documents"):
     As in the source, preparation runs once and every analysis reads its
     output: the table is materialised once per application and source folder
     in the reliable checkpoint folder (it survives executor loss) and
-    reused.  ``describe_per_key*`` always run the preparation from raw."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), kind)
+    reused while the source files stay the same.  ``describe_per_key*`` always run the preparation from raw."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), kind, folder_stamp(spark, sf))
     if key not in _PREPARED:
         _PREPARED[key] = cut_lineage(_prepare(spark, sf, kind))
     return _PREPARED[key]
@@ -189,7 +189,7 @@ def q_rating_summaries(spark, sf):
 
 @register("exclude_class", _with() + f" SELECT {DESCRIPTION_SELECT} FROM descriptions WHERE emotion <> '{EXCLUDED}'")
 def q_exclude(spark, sf):
-    return modelling_table(_desc(spark, sf), EXCLUDED)
+    return C.exclude_class(_desc(spark, sf), EXCLUDED)
 
 
 # ------------------------------------------------------------- validation

@@ -8,14 +8,12 @@ from emolens.operators.describe import NUMERIC_FEATURES
 from emolens.plans.sqlparts import descriptions_ctes
 from emolens.plans.q_terms import bigrams_sql, tokens_sql
 
-EXCLUDED = "es"
 
-
-def split_ctes(kind: str = "documents", excluded: str | None = EXCLUDED, seed: int = 42,
+def split_ctes(kind: str = "documents", seed: int = 42,
                test_size: float = 0.2, folds: int = 5) -> str:
-    where = f"WHERE emotion <> '{excluded}'" if excluded else ""
     return descriptions_ctes(kind) + f""",
-modelling AS (SELECT md5(Description) AS doc, * FROM descriptions {where}),
+modelling AS (SELECT md5(Description) AS doc, * FROM descriptions
+  QUALIFY count(*) OVER (PARTITION BY emotion) >= {folds}),
 cls AS (SELECT emotion, count(*) AS n_class FROM modelling GROUP BY emotion),
 tot AS (SELECT sum(n_class) AS n, CAST(ceil({test_size} * sum(n_class)) AS BIGINT) AS n_test FROM cls),
 alloc AS (SELECT c.emotion, c.n_class, (c.n_class * (t.n - t.n_test)) // t.n AS base,

@@ -65,7 +65,10 @@ GENRE_LIST = (
 
 
 def list_literal(expr: str) -> str:
-    return f"'[' || array_to_string(list_transform({expr}, lambda x: '''' || x || ''''), ', ') || ']'"
+    plain = "replace(x, '\\', '\\\\')"
+    quoted = (f"CASE WHEN contains(x, '\'\'') AND NOT contains(x, '\"') THEN '\"' || {plain} || '\"' "
+              f"ELSE '\'\'' || replace({plain}, '\'\'', '\\\'\'') || '\'\'' END")
+    return f"'[' || array_to_string(list_transform({expr}, lambda x: {quoted}), ', ') || ']'"
 
 
 def descriptions_ctes(kind: str = "documents") -> str:

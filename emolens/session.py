@@ -39,8 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) a scratch folder is
-    created.
+    as is.  Only a local session without one (tests) gets a scratch folder;
+    on a cluster executors could not share it, so a missing setting is an
+    error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,12 +49,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="emolens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def folder_stamp(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of a folder's files (two levels deep): tables
+    derived from them are reused only while it stays the same."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.listStatus(path):
+        for f in fs.listStatus(s.getPath()) if s.isDirectory() else [s]:
+            found.append((str(f.getPath()), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder.
 

@@ -44,7 +44,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 57 == 0, F.lit("[]"))
         .when(n % 61 == 0, F.lit("broken"))
         .otherwise(F.concat(
-            F.lit("['Src "), F.substring("source", 4, 1 << 20), F.lit("', '"),
+            F.lit("['Src "), F.expr("substring(source, 4)"), F.lit("', '"),
             F.when(n >= 1500, F.lit("Long")).otherwise(F.lit("Short")), F.lit("']")))
     )
     return table(spark, sf_dir, "documents").select(

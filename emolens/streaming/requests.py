@@ -3,10 +3,10 @@ micro-batch).
 
 The source answers one request at a time interactively; here requests
 arrive as files, each micro-batch is joined with the (static, materialised)
-scored catalogue by ``foreachBatch`` and appended to a sink.  The request
+scored catalogue by ``foreachBatch`` and written below the sink.  The request
 key table per batch is tiny, the catalogue is read, not rebuilt.  Progress
-is tracked in a checkpoint folder so a restarted query resumes exactly once
-per file.
+is tracked in a checkpoint folder.  A batch that is run again after a failure
+overwrites its own ``batch_id`` folder, so the sink holds every answer once.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def serve_requests(spark: SparkSession, source_dir: str, schema: StructType,
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         recs = recommend_batch(to_requests(batch), catalogue, fallback=True)
-        recs.write.mode("append").parquet(sink_dir)
+        recs.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
