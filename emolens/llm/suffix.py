@@ -47,7 +47,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from emolens.llm.common import text_chunks, text_or_empty, written
 
 LENGTH, GRAM = 50, 24
-BUCKET_BYTES, SHARD_BYTES, HOT_BYTES = 24_000_000, 3_000_000, 48_000_000
+BUCKET_BYTES, SHARD_BYTES, HOT_BYTES = 24_000_000, 1_500_000, 48_000_000
 #: An anchor in so many documents of a task's chunk goes as one packed row.
 HEAVY = 64
 #: Bytes of text whose anchors are computed at once.
@@ -98,7 +98,7 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray, start: np.ndarray) ->
     (L) suffixes from the left, smaller (S) ones from the right.  A bucket is
     one step; its own suffixes that precede each other are further steps."""
     n, sigma, larger = len(t), len(start) - 1, ~s
-    sa = np.zeros(n, np.int64)
+    sa = np.zeros(n, np.int32)
     head, tail = start[:-1].copy(), start[1:].copy()
     first = t[lms]
     edge = np.searchsorted(first, np.arange(sigma + 1))
@@ -148,13 +148,14 @@ def _named(t: np.ndarray, lms: np.ndarray, order: np.ndarray) -> np.ndarray:
 def _doubled(t: np.ndarray, depth: int) -> np.ndarray:
     """Order of the suffixes by their first ``depth`` symbols."""
     rank, h = t.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while h < depth:
         after = np.zeros(len(t), np.int64)
         after[:-h] = rank[h:] + 1
         key = rank * (int(rank.max()) + 2) + after
-        order = np.argsort(key, kind="stable")
-        new = np.append(0, np.cumsum(key[order][1:] != key[order][:-1]))
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(0, np.cumsum(key[1:] != key[:-1]))
         rank = np.empty(len(t), np.int64)
         rank[order] = new
         if new[-1] == len(t) - 1:
@@ -190,7 +191,7 @@ def permuted_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray
     """By position: the length, up to ``most``, of what a suffix shares with
     its neighbour to the left in ``sa``."""
     n = len(data)
-    before = np.empty(n, np.int64)
+    before = np.empty(n, np.int32)
     before[sa] = np.append(sa[0], sa[:-1])
     padded = np.append(data, np.zeros(most + 8, np.uint8))
     word = np.zeros(n + most, np.uint64)
@@ -243,10 +244,11 @@ def shard_removals(docs: np.ndarray, pieces: list[bytes], length: int = LENGTH,
         held = np.logical_or.reduceat(doc == home, np.flatnonzero(new))[run]
         undecided = [(int(owner[p]), int(p - start[owner[p]])) for p in sa[~held]]
         gone &= held
-    mark = np.zeros(n + length + 1, np.int32)
-    np.add.at(mark, sa[gone], 1)
-    np.add.at(mark, sa[gone] + length, -1)
-    covered = np.cumsum(mark)[:n] > 0
+    first = np.zeros(n + length, np.int8)
+    first[sa[gone]] = 1
+    mark = first.copy()
+    mark[length:] -= first[:n]
+    covered = np.cumsum(mark, dtype=np.int32)[:n] > 0
     edge = np.flatnonzero(np.diff(np.concatenate(([0], covered.view(np.int8), [0]))))
     out: list[list[tuple[int, int]]] = [[] for _ in pieces]
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
@@ -412,37 +414,44 @@ _SEGMENTS = "home long, id long, text_hash long, start long, piece binary"
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their shared anchors' homes -> segments: the bytes of
     consecutive windows of one home."""
+    def mixed(row: np.ndarray, f: np.ndarray) -> np.ndarray:
+        return f ^ ((row.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+
     for rows, texts in text_chunks(batches, "text", 4_000_000):
-        out: list[tuple] = []
-        ids, hashes = rows.column("id").to_pylist(), rows.column("text_hash").to_pylist()
-        known = rows.column("homes").to_pylist()
-        for i, t in enumerate(texts):
-            raw = t.encode("utf-8")
-            f = np.array([x["f"] for x in known[i]], np.int64).view(np.uint64)
-            home = np.array([x["home"] for x in known[i]], np.int64)
-            order = np.argsort(f, kind="stable")
-            f, home = f[order], home[order]
-            for data, starts, own in _pieces_of([raw], [i], CHUNK_CHARS):
-                window, anchor, h = anchors(data, starts)
-                if not len(h):
-                    continue
-                at = np.minimum(np.searchsorted(f, h), len(f) - 1)
-                there = f[at] == h
-                # windows of one home, side by side
-                of = np.where(there, home[at], 0)[anchor]
-                shared = there[anchor]
-                part = np.searchsorted(starts, window, side="right") - 1
-                edge = np.append(True, (of[1:] != of[:-1]) | (shared[1:] != shared[:-1]) | (part[1:] != part[:-1]))
-                first = np.flatnonzero(edge)
-                last = np.append(first[1:], len(window)) - 1
-                for a, b in zip(first[shared[first]].tolist(), last[shared[first]].tolist(), strict=True):
-                    lo = int(window[a])
-                    hi = int(window[b]) + LENGTH
-                    begin = lo - int(starts[part[a]]) + own[part[a]][1]
-                    out.append((int(of[a]), ids[i], hashes[i], begin, data[lo:hi].tobytes()))
-        if out:
+        raw = [t.encode("utf-8") for t in texts]
+        ids, hashes = rows.column("id").to_numpy(), rows.column("text_hash").to_numpy()
+        lists = rows.column("homes")
+        flat = lists.flatten()
+        known_f = flat.field("f").to_numpy().view(np.uint64)
+        known_home = flat.field("home").to_numpy()
+        known_row = np.repeat(np.arange(len(raw)), np.diff(lists.offsets.to_numpy()))
+        # (row, anchor) as one number; what is found is compared in both
+        known = mixed(known_row, known_f)
+        order = np.argsort(known)
+        known, known_f, known_home, known_row = known[order], known_f[order], known_home[order], known_row[order]
+        for data, starts, own in _pieces_of(raw, list(range(len(raw))), CHUNK_CHARS):
+            window, anchor, h = anchors(data, starts)
+            if not len(h):
+                continue
+            part = np.searchsorted(starts, window, side="right") - 1
+            row = np.array([i for i, _ in own], np.int64)
+            first = np.append(0, np.flatnonzero(np.diff(anchor)) + 1)
+            anchor_row = row[part[first]]
+            at = np.minimum(np.searchsorted(known, mixed(anchor_row, h)), len(known) - 1)
+            there = (known_f[at] == h) & (known_row[at] == anchor_row)
+            # windows of one home, side by side
+            of, shared = np.where(there, known_home[at], 0)[anchor], there[anchor]
+            edge = np.append(True, (of[1:] != of[:-1]) | (shared[1:] != shared[:-1]) | (part[1:] != part[:-1]))
+            begin = np.flatnonzero(edge)
+            last = np.append(begin[1:], len(window)) - 1
+            begin, last = begin[shared[begin]], last[shared[begin]]
+            if not len(begin):
+                continue
+            lo, hi, which = window[begin], window[last] + LENGTH, part[begin]
+            skipped = np.array([x for _, x in own], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (*[pa.int64()] * 4, pa.binary()), strict=True)],
+                [pa.array(of[begin]), pa.array(ids[row[which]]), pa.array(hashes[row[which]]), pa.array(lo - starts[which] + skipped[which]),
+                 pa.array([data[x:y].tobytes() for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary())],
                 ["home", "id", "text_hash", "start", "piece"])
 
 
