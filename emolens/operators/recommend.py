@@ -150,24 +150,25 @@ def recommend_batch(requests: DataFrame, catalogue: DataFrame, label: str = "pre
 
 def feature_row(requests: DataFrame, text: str = "description", genre: str = "preferred_genre",
                 rating: str = "mean_rating", reviews: str = "review_count",
-                compat: bool = False) -> tuple[DataFrame, DataFrame]:
+                median: str = "median_rating", compat: bool = True) -> tuple[DataFrame, DataFrame]:
     """Request rows -> model input (the 10 model columns) and rejects.
 
-    Defaults: rating 5.5, median = mean, 1 review, genre ``unknown_genre``;
-    a negative review count becomes 0; blank text is rejected.  With the
-    training semantics (default) ``unknown_genre`` counts 0 genres and
-    multi-word genres are underscored; ``compat=True`` keeps the source's
-    serving behaviour (count 1, spaces kept).
+    Defaults: rating 5.5, the median as given or else the mean, 1 review,
+    genre ``unknown_genre``; a negative review count becomes 0; blank text is
+    rejected.  Genres are the words of the lower-case genre text and
+    ``unknown_genre`` counts as one; ``compat=False`` applies the training
+    semantics (``unknown_genre`` counts 0, a genre's spaces become ``_``).
     """
     d = trim_unicode(F.col(text))
     g_raw = F.lower(trim_unicode(F.coalesce(F.col(genre), F.lit(""))))
     g = g_raw if compat else F.replace(g_raw, F.lit(" "), F.lit("_"))
     g = F.when(g == "", F.lit(UNKNOWN_CATEGORY)).otherwise(g)
-    n_genres = F.size(F.split(g, " ")).cast("bigint")
+    n_genres = word_count(g)
     if not compat:
         n_genres = F.when(g == UNKNOWN_CATEGORY, F.lit(0).cast("bigint")).otherwise(n_genres)
     mean = F.coalesce(F.col(rating).cast("double"), F.lit(DEFAULT_RATING)) if rating in requests.columns \
         else F.lit(DEFAULT_RATING)
+    med = F.coalesce(F.col(median).cast("double"), mean) if median in requests.columns else mean
     rc = F.col(reviews).cast("bigint") if reviews in requests.columns else F.lit(DEFAULT_REVIEWS)
     rc = F.greatest(F.coalesce(rc, F.lit(DEFAULT_REVIEWS)), F.lit(0))
     rows = requests.withColumn("_d", d)
@@ -175,7 +176,7 @@ def feature_row(requests: DataFrame, text: str = "description", genre: str = "pr
     rejects = rows.where((F.col("_d") == "") | F.col("_d").isNull()).drop("_d")
     model_input = ok.select(
         "request_id", F.col("_d").alias("Description"), g.alias("genres_text"),
-        mean.alias("mean_rating"), mean.alias("median_rating"), n_genres.alias("genre_count"),
+        mean.alias("mean_rating"), med.alias("median_rating"), n_genres.alias("genre_count"),
         word_count("_d").alias("description_word_count"),
         char_count("_d").alias("description_character_count"),
         F.lit(0.0).alias("rating_range"), F.log1p(rc).alias("log_review_count"),

@@ -1,8 +1,8 @@
 """Raw reviews -> one row per description (the preparation entry point).
 
 One lazy plan: scan -> clean -> filter -> dedup (shuffle 1) -> per-key
-aggregate (shuffle 2) -> derived columns.  Guards and counts are separate
-aggregate jobs that the caller may request.
+aggregate (shuffle 2) -> derived columns.  The guards are one aggregate over
+the materialised result.
 """
 
 from __future__ import annotations
@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emolens.operators.clean import (assert_no_conflicts, clean_reviews, drop_missing_required,
-                                     exact_dedup, range_filter, validate_processed)
+from emolens.operators.clean import (clean_reviews, drop_missing_required, exact_dedup,
+                                     range_filter, validate_processed)
 from emolens.operators.describe import derive_features, describe_per_key
+from emolens.session import cut_lineage
 
 
 def valid_reviews(raw: DataFrame, label: str = "emotion") -> DataFrame:
@@ -25,17 +26,16 @@ def unique_reviews(raw: DataFrame, label: str = "emotion") -> DataFrame:
 
 
 def prepare_descriptions(raw: DataFrame, label: str = "emotion", *,
-                         check: bool = False) -> DataFrame:
-    """The 20-column description table.
+                         check: bool = True) -> DataFrame:
+    """The 20-column description table, checked.
 
-    With ``check=True`` the label-consistency guard runs before the
-    aggregate and the output checks after it (each one aggregate job).
+    The table is materialised once (reliable checkpoint) and its checks are
+    one aggregate over it; a description with two labels is two rows of one
+    key and fails the key check.  ``check=False`` gives the lazy plan.
     """
-    reviews = unique_reviews(raw, label)
-    if check:
-        assert_no_conflicts(reviews, "Description", label)
-    desc = derive_features(describe_per_key(reviews, "Description", label))
+    desc = derive_features(describe_per_key(unique_reviews(raw, label), "Description", label))
     if check:
+        desc = cut_lineage(desc)
         validate_processed(desc, "description table")
     return desc
 

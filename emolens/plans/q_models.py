@@ -131,16 +131,29 @@ def q_rf(spark, sf):
     return _pred_out(p)
 
 
-@register("top_k_importance")
-def q_importance(spark, sf):
-    """The 20 largest forest importances, named 'SVD component i'."""
+@register("predict")
+def q_predict(spark, sf):
+    """Logistic regression labels of every training and test document."""
+    _, p = _sparse_predictions(spark, sf, Candidate("logistic", {"C": 1.0, "max_iter": 3000}))
+    parts = [p[s].select(DOC, F.lit(s).alias("split"), "actual", "predicted") for s in ("train", "test")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("component_importance")
+def q_components(spark, sf):
+    """All forest importances, named 'SVD component i'."""
     classes, dtr, dte, *_ = _dense_sets(spark, sf)
     c = Candidate("random_forest", {"n_estimators": 300, "max_depth": 30, "max_features": "sqrt"})
     model, _ = fit_predict(c, dtr, {"test": dte}, classes)
     imp = model.featureImportances.toArray()
     rows = [(f"SVD component {i + 1}", float(x)) for i, x in enumerate(imp)]
-    df = spark.createDataFrame(rows, "component string, importance double")
-    return df.orderBy(F.desc("importance"), "component").limit(20)
+    return spark.createDataFrame(rows, "component string, importance double")
+
+
+@register("top_k_importance")
+def q_importance(spark, sf):
+    """The 20 largest forest importances."""
+    return q_components(spark, sf).orderBy(F.desc("importance"), "component").limit(20)
 
 
 @register("clf_mlp")

@@ -13,7 +13,7 @@ from emolens.plans.catalog import register
 from emolens.plans.prepare import prepare_descriptions, unique_reviews
 from emolens.plans.sqlparts import (DESCRIPTION_SELECT, GENRE_LIST, blank, cleaned_ctes,
                                     descriptions_ctes, list_literal, r6, trim)
-from emolens.session import cut_lineage, folder_stamp
+from emolens.session import folder_stamp
 from emolens.sources.fixtures import RAW_REVIEWS_SQL, raw_reviews, reviews_big, table
 
 RAW_COLS = ["Ratings", "Reviews", "movie_name", "Resenhas", "genres", "Description", "emotion"]
@@ -39,7 +39,7 @@ def _desc(spark, sf, kind="documents"):
     reused while the source files stay the same.  ``describe_per_key*`` always run the preparation from raw."""
     key = (spark.sparkContext.applicationId, sf.rstrip("/"), kind, folder_stamp(spark, sf))
     if key not in _PREPARED:
-        _PREPARED[key] = cut_lineage(_prepare(spark, sf, kind))
+        _PREPARED[key] = _prepare(spark, sf, kind)
     return _PREPARED[key]
 
 

@@ -157,11 +157,10 @@ def q_rec_fallback(spark, sf):
 
 
 @register("feature_row", """SELECT item_id AS request_id, trim(text) AS Description,
- CASE WHEN replace(lower(trim(coalesce(g, ''))), ' ', '_') = '' THEN 'unknown_genre'
-      ELSE replace(lower(trim(coalesce(g, ''))), ' ', '_') END AS genres_text,
+ CASE WHEN lower(trim(coalesce(g, ''))) = '' THEN 'unknown_genre' ELSE lower(trim(coalesce(g, ''))) END AS genres_text,
  5.5 AS mean_rating, 5.5 AS median_rating,
- CAST(CASE WHEN replace(lower(trim(coalesce(g, ''))), ' ', '_') = '' THEN 0
-      ELSE len(string_split(replace(lower(trim(coalesce(g, ''))), ' ', '_'), ' ')) END AS BIGINT) AS genre_count,
+ CAST(CASE WHEN trim(coalesce(g, '')) = '' THEN 1
+      ELSE len(regexp_extract_all(trim(g), '\\S+')) END AS BIGINT) AS genre_count,
  CAST(len(regexp_extract_all(trim(text), '\\S+')) AS BIGINT) AS description_word_count,
  CAST(length(trim(text)) AS BIGINT) AS description_character_count, 0.0 AS rating_range,
  """ + r6("ln(2.0)") + " AS log_review_count, " + r6("ln(2.0)") + """ AS log_unique_review_count

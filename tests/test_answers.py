@@ -82,3 +82,27 @@ def test_svd_refuses_too_many_components(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),), (Vectors.dense([0.5, 1.0]),)], ["features"])
     with pytest.raises(ValueError, match="components"):
         svd_fit(df, 2)
+
+
+def test_feature_row_defaults_and_own_values(spark):
+    from emolens.operators.recommend import feature_row
+    req = spark.createDataFrame([(1, " A story ", "Comedy Drama", None, None, 3), (2, "B", None, 8.0, 7.5, -4), (3, " ", "x", None, None, None)],
+                                "request_id int, description string, preferred_genre string, mean_rating double, median_rating double, review_count int")
+    rows, rejects = feature_row(req)
+    got = {r.request_id: r for r in rows.collect()}
+    assert [r.request_id for r in rejects.collect()] == [3] and set(got) == {1, 2}
+    assert (got[1].genres_text, got[1].genre_count, got[1].mean_rating, got[1].median_rating) == ("comedy drama", 2, 5.5, 5.5)
+    assert (got[2].genres_text, got[2].genre_count, got[2].mean_rating, got[2].median_rating) == ("unknown_genre", 1, 8.0, 7.5)
+    assert got[2].log_review_count == 0.0
+    own, _ = feature_row(req, compat=False)
+    assert {r.request_id: (r.genres_text, r.genre_count) for r in own.collect()} == {1: ("comedy_drama", 1), 2: ("unknown_genre", 0)}
+
+
+def test_preparation_checks_by_default(spark):
+    from emolens.plans.prepare import prepare_descriptions
+    schema = "`Unnamed: 0` long, Ratings string, Reviews string, movie_name string, Resenhas string, genres string, Description string, emotion string"
+    rows = [(0, "5", "r", "m", "x", "['a']", "d", "joy"), (1, "6", "s", "m", "x", "['a']", "d", "fear")]
+    with pytest.raises(ValueError, match="key check"):
+        prepare_descriptions(spark.createDataFrame(rows, schema))
+    assert prepare_descriptions(spark.createDataFrame(rows[:1], schema)).count() == 1
+    assert prepare_descriptions(spark.createDataFrame(rows, schema), check=False).count() == 2
