@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,8 @@ from emolens.llm.common import text_chunks
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SUFFIX = "</w>"
 
-#: Fragments kept per task and cache; a full cache starts anew.
-CACHE = 300_000
+#: Fragments kept per generation of a cache.
+CACHE = 100_000
 
 #: The white space of the pattern's \s, as a character class.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -54,16 +56,21 @@ def byte_characters() -> list[str]:
 
 
 class _Known(dict):
-    """Ids of fragments; a missing one is computed, a full cache starts anew."""
+    """Ids of fragments in two generations: a missing fragment is taken from
+    the older one or computed; a full younger one becomes the older."""
 
     def __init__(self, compute):
         super().__init__()
-        self._compute = compute
+        self._compute, self._older = compute, {}
 
     def __missing__(self, fragment: str) -> bytes:
+        ids = self._older.get(fragment)
+        if ids is None:
+            ids = self._compute(fragment)
         if len(self) >= CACHE:
+            self._older = dict(self)
             self.clear()
-        ids = self[fragment] = self._compute(fragment)
+        self[fragment] = ids
         return ids
 
 
@@ -90,22 +97,32 @@ class BoundaryEncoder:
         self.tokens = {i: t for t, i in (vocab | self.special).items()}
         self.joined = {pair for t in vocab for pair in zip(t.removesuffix(SUFFIX), t.removesuffix(SUFFIX)[1:], strict=False)}
         self._byte = byte_characters()
+        apart = [a + b for a in ascii_lowercase for b in ascii_lowercase if (a, b) not in self.joined]
+        self._letters_cut = regex.compile("|".join(apart) or "(?!)").search
         self._pieces = _Known(self._piece)
         self._words = _Known(self._word)
 
     def fragments(self, piece: str) -> list[str]:
         """A pre-token as byte characters, cut at the forced boundaries."""
+        if piece.isascii() and piece.isalpha() and piece.islower() and not self._letters_cut(piece):
+            return [piece]
         s = piece if piece.isascii() and piece.isprintable() else "".join([self._byte[b] for b in piece.encode("utf-8")])
         cuts = [i for i, pair in enumerate(zip(s, s[1:], strict=False), 1) if pair not in self.joined]
         return [s[a:b] for a, b in zip([0, *cuts], [*cuts, len(s)], strict=True)] if cuts else [s]
 
     def _piece(self, piece: str) -> bytes:
         *inner, last = self.fragments(piece)
-        ids = [t.id for f in inner for t in self._inner.tokenize(f)]
-        ids += [t.id for t in self._last.tokenize(last)]
-        return np.array(ids, "<u4").tobytes()
+        ids = [t.id for t in self._last.tokenize(last)]
+        if inner:
+            ids = [t.id for f in inner for t in self._inner.tokenize(f)] + ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
+        # letters alone are one pre-token, and so is a full stop or comma after them
+        if word.isalpha():
+            return self._pieces[word]
+        if word[:-1].isalpha() and word[-1] in ".,":
+            return self._pieces[word[:-1]] + self._pieces[word[-1]]
         return b"".join(map(self._pieces.__getitem__, _PIECES(word)))
 
     def _plain(self, text: str) -> bytes:

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,8 @@ from emolens.session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Characters of text handled at once inside a task.
-CHUNK_CHARS = 2_000_000
+#: Bytes of text handled at once inside a task.
+CHUNK_BYTES = 2_000_000
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -48,16 +49,17 @@ def text_or_empty(column: str = "text"):
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
-                limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of Arrow batches holding about ``limit`` characters of text
+                limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of Arrow batches holding about ``limit`` bytes of text
     (one row at least), with the texts; a null text is empty."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(column).to_pylist()]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = size = 0
-        for i, t in enumerate(texts):
-            size += len(t)
+        for i, n in enumerate([*sizes, limit]):
+            size += n
             if size >= limit:
-                yield batch.slice(start, i + 1 - start), texts[start:i + 1]
-                start, size = i + 1, 0
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+                end = min(i + 1, len(sizes))
+                if end > start:
+                    rows = batch.slice(start, end - start)
+                    yield rows, [t or "" for t in rows.column(column).to_pylist()]
+                start, size = end, 0
