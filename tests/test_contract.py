@@ -20,13 +20,16 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_iterative():
     from __spark_entry__ import oracle_sql, queries
 
+    from emolens.plans import catalog
+
     q, o = queries(), oracle_sql()
-    assert set(o) <= set(q)
-    rows_only = set(q) - set(o)
+    assert set(o) <= set(q) and set(catalog.QUERIES) <= set(q) and set(catalog.ORACLE) <= set(o)
+    # the training-data queries have tests of their own beside them
+    rows_only = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert rows_only <= {"clf_logistic", "clf_linear_svm", "clf_decision_tree", "clf_random_forest",
                          "clf_mlp", "truncated_svd", "svd_explained_variance", "top_k_importance",
-                         "training_loss_curve", "grid_search", "save_load_model",
-                         "read_summary_json", "write_results", "recommend_stream"}
+                         "training_loss_curve", "grid_search", "save_load_model", "predict",
+                         "component_importance", "read_summary_json", "write_results"}
 
 
 @pytest.mark.parametrize("name", SUBSET)
