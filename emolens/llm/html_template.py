@@ -183,12 +183,14 @@ def read_page(page: str) -> tuple[list[Block], list[str]]:
 
 def page_tokens(blocks: list[Block], tags: list[str]) -> list[int]:
     """64-bit tokens of a page in page order: tags, and whole text blocks in
-    their role."""
+    their role.  Text that the markup declares as article is data, whatever
+    it says; it is no token."""
     out, k = [], 0
     for b in blocks:
         out += [xxhash.xxh64_intdigest(t) for t in tags[k:b.gap]]
         k = b.gap
-        out.append(xxhash.xxh64_intdigest(b.path + "\0" + b.text()))
+        if not b.main:
+            out.append(xxhash.xxh64_intdigest(b.path + "\0" + b.text()))
     return out + [xxhash.xxh64_intdigest(t) for t in tags[k:]]
 
 
