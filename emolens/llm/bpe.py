@@ -39,7 +39,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SUFFIX = "</w>"
 
 #: Fragments kept per generation of a cache.
-CACHE = 100_000
+CACHE = 120_000
 
 #: The white space of the pattern's \s, as a character class.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -99,8 +99,8 @@ class BoundaryEncoder:
         self._byte = byte_characters()
         apart = [a + b for a in ascii_lowercase for b in ascii_lowercase if (a, b) not in self.joined]
         self._letters_cut = regex.compile("|".join(apart) or "(?!)").search
-        self._pieces = _Known(self._piece)
-        self._words = _Known(self._word)
+        # a pre-token is encoded as a word of its own, so one cache holds both
+        self._known = _Known(self._word)
 
     def fragments(self, piece: str) -> list[str]:
         """A pre-token as byte characters, cut at the forced boundaries."""
@@ -120,10 +120,11 @@ class BoundaryEncoder:
     def _word(self, word: str) -> bytes:
         # letters alone are one pre-token, and so is a full stop or comma after them
         if word.isalpha():
-            return self._pieces[word]
+            return self._piece(word)
         if word[:-1].isalpha() and word[-1] in ".,":
-            return self._pieces[word[:-1]] + self._pieces[word[-1]]
-        return b"".join(map(self._pieces.__getitem__, _PIECES(word)))
+            return self._known[word[:-1]] + self._known[word[-1]]
+        pieces = _PIECES(word)
+        return self._piece(word) if pieces == [word] else b"".join(map(self._known.__getitem__, pieces))
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
@@ -131,7 +132,7 @@ class BoundaryEncoder:
         text = text.lower()
         # str.split also cuts at these four controls, which are no white space here
         words = text.split() if not any(c in text for c in "\x1c\x1d\x1e\x1f") else _WHITE.split(text)
-        return b"".join(map(self._words.__getitem__, words))
+        return b"".join(map(self._known.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""

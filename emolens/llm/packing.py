@@ -36,6 +36,8 @@ from emolens.llm.common import free_name, text_chunks, written
 SEQUENCE = 4096
 END = 2
 DIMS, BITS, SEED = 4, 8, 20_240
+#: Rows of ids handled at once inside a task.
+ROWS = 1000
 
 
 @lru_cache(maxsize=4)
@@ -156,7 +158,7 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE, end: int | None = E
     joined = table.select(key, row, "ids", "n_ids").join(placed, row).select(key, "ids", "n_ids", "start_at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(a, ROWS) for b in batches for a in range(0, b.num_rows, ROWS)):
             which, cols = [], {n: [] for n in schema.names[1:]}
             ids = batch.column("ids").to_pylist()
             for i, (n, at) in enumerate(zip(batch.column("n_ids").to_pylist(), batch.column("start_at").to_pylist(), strict=True)):
@@ -183,7 +185,7 @@ def piece_checksums(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
     schema = StructType([pieces.schema[c] for c in keep] + [StructField("ids_crc32", LongType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(a, ROWS) for x in batches for a in range(0, x.num_rows, ROWS)):
             crc = []
             for n, x in zip(b.column("length").to_pylist(), b.column("piece_ids").to_pylist(), strict=True):
                 crc.append(zlib.crc32(np.frombuffer(x, f"<u{len(x) // n}").astype("<u4").tobytes()))
