@@ -314,7 +314,7 @@ def _pieces_of(texts: list[bytes], ids: list, limit: int = 1 << 23) -> Iterator[
         yield np.frombuffer(b"".join(data), np.uint8), np.array(starts), own
 
 
-_SENT = "bucket long, heavy boolean, f binary, docs binary"
+_SENT = "bucket long, heavy boolean, f binary, docs binary, chunk long"
 
 
 def _send(batches: Iterator[pa.RecordBatch], buckets: int, many: int = HEAVY) -> Iterator[pa.RecordBatch]:
@@ -340,22 +340,24 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int, many: int = HEAVY) ->
         group = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
         size = np.diff(np.append(group, len(f)))
         out: list[tuple] = []
+        # rows of one chunk meet again to be sorted by document
+        chunk = rows.column("id")[0].as_py()
         single = np.ones(len(f), bool)
         for g, n in zip(group[size >= many].tolist(), size[size >= many].tolist(), strict=True):
-            out.append((int(f[g] % np.uint64(buckets)), True, f[g:g + 1].tobytes(), d[g:g + n].tobytes()))
+            out.append((int(f[g] % np.uint64(buckets)), True, f[g:g + 1].tobytes(), d[g:g + n].tobytes(), chunk))
             single[g:g + n] = False
         f, d = f[single], d[single]
         b = (f % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(b, kind="stable")
         b, f, d = b[order], f[order], d[order]
         cut = np.append(np.flatnonzero(np.append(True, b[1:] != b[:-1])), len(b)) if len(b) else np.zeros(1, np.int64)
-        out += [(int(b[x]), False, f[x:y].tobytes(), d[x:y].tobytes()) for x, y in zip(cut[:-1], cut[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.bool_(), pa.binary(), pa.binary()), strict=True)],
-            ["bucket", "heavy", "f", "docs"])
+        out += [(int(b[x]), False, f[x:y].tobytes(), d[x:y].tobytes(), chunk) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+        kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                         ["bucket", "heavy", "f", "docs", "chunk"])
 
 
-_HOMES = "heavy boolean, f long, id long, home long, docs binary"
+_HOMES = "heavy boolean, f long, id long, home long, docs binary, chunk long"
 
 
 def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,9 +365,9 @@ def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     document and the home.  Packed rows pass through, after the home of their
     anchor."""
     def solved(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        f = [np.frombuffer(x, np.uint64) for _, x, _ in rows]
-        d = [np.frombuffer(x, np.int64) for _, _, x in rows]
-        heavy = {int(x[0]): None for (is_heavy, _, _), x in zip(rows, f, strict=True) if is_heavy}
+        f = [np.frombuffer(r[1], np.uint64) for r in rows]
+        d = [np.frombuffer(r[2], np.int64) for r in rows]
+        heavy = {int(x[0]): None for r, x in zip(rows, f, strict=True) if r[0]}
         one = [i for i, r in enumerate(rows) if not r[0]]
         hashes = np.concatenate([f[i] for i in one] + [f[i][:1] for i, r in enumerate(rows) if r[0]])
         docs = np.concatenate([d[i] for i in one] + [d[i][:1] for i, r in enumerate(rows) if r[0]])
@@ -380,17 +382,18 @@ def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             heavy[int(hashes[group[g]])] = int(home[g])
             several[g] = True
         keep = np.repeat(several, size) & light
-        yield table(False, hashes[keep].view(np.int64), docs[keep], np.repeat(home, size)[keep], None)
-        for (is_heavy, _, packed), x in zip(rows, f, strict=True):
+        yield table(False, hashes[keep].view(np.int64), docs[keep], np.repeat(home, size)[keep], None, None)
+        for (is_heavy, _, packed, chunk), x in zip(rows, f, strict=True):
             if is_heavy:
-                yield table(True, x.view(np.int64), x.view(np.int64)[:1] * 0, np.array([heavy[int(x[0])]]), [packed])
+                yield table(True, x.view(np.int64), x.view(np.int64)[:1] * 0, np.array([heavy[int(x[0])]]), [packed], [chunk])
 
-    def table(is_heavy, f, ids, home, packed) -> pa.RecordBatch:
+    def table(is_heavy, f, ids, home, packed, chunk) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([is_heavy] * len(f), pa.bool_()), pa.array(f), pa.array(ids), pa.array(home),
-             pa.array(packed or [None] * len(f), pa.binary())], ["heavy", "f", "id", "home", "docs"])
+             pa.array(packed or [None] * len(f), pa.binary()), pa.array(chunk or [None] * len(f), pa.int64())],
+            ["heavy", "f", "id", "home", "docs", "chunk"])
 
-    for rows in _grouped(batches, ("heavy", "f", "docs")):
+    for rows in _grouped(batches, ("heavy", "f", "docs", "chunk")):
         yield from solved(rows)
 
 
@@ -499,9 +502,10 @@ def removed_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", hot_
     n_tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     sent = rows.select("id", "text").mapInArrow(lambda b: _send(b, buckets, heavy), _SENT)
     homes = written(sent.repartition(n_tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_homes, _HOMES), "homes")
-    light = homes.where("not heavy").select("id", "f", "home")
-    packed = homes.where("heavy").mapInArrow(_unpacked, "id long, f long, home long")
-    anchored = light.unionAll(packed).groupBy("id").agg(F.collect_list(F.struct("f", "home")).alias("homes"))
+    light = homes.where("not heavy").select("id", F.array(F.struct("f", "home")).alias("homes"))
+    packed = (homes.where("heavy").select("chunk", "f", "home", "docs").repartition(n_tasks, "chunk")
+              .sortWithinPartitions("chunk").mapInArrow(_unpacked, "id long, homes array<struct<f:long,home:long>>"))
+    anchored = light.unionAll(packed).groupBy("id").agg(F.flatten(F.collect_list("homes")).alias("homes"))
     segments = written(rows.join(anchored, "id").select("id", "text_hash", "text", "homes").mapInArrow(_segments, _SEGMENTS),
                        "segments")
 
@@ -538,11 +542,19 @@ def _as_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for f, home, packed in zip(b.column("f").to_pylist(), b.column("home").to_pylist(), b.column("docs").to_pylist(), strict=True):
-            ids = np.frombuffer(packed, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(ids), f)), pa.array(np.full(len(ids), home))],
-                                             ["id", "f", "home"])
+    """Packed rows sorted by chunk -> a row per document of the chunk, with
+    all its anchors of this kind."""
+    for rows in _grouped(batches, ("f", "home", "docs"), "chunk"):
+        ids = [np.frombuffer(packed, np.int64) for *_, packed in rows]
+        size = [len(x) for x in ids]
+        flat = np.concatenate(ids)
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+        f, home = (np.repeat(np.array([r[k] for r in rows], np.int64), size)[order] for k in (0, 1))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(flat)), pa.int32()),
+                                         pa.StructArray.from_arrays([pa.array(f), pa.array(home)], ["f", "home"]))
+        yield pa.RecordBatch.from_arrays([pa.array(flat[first]), lists], ["id", "homes"])
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
