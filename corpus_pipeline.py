@@ -6,7 +6,7 @@ shared folder, and returns the columns of documents (the last one: pieces of
 sequences).
 
 1. ``quality_rules``: documents that the rule policy rejects go;
-2. ``line_dedup``: later places of repeated line chunks are cut from the
+2. ``line_dedup``: later places of repeated passages of lines are cut from the
    texts; a document of which nothing is left goes;
 3. ``near_duplicates``: one document of each 5-word Jaccard class (0.8) stays;
 4. ``surrogates``: personal data and secrets get surrogates;
@@ -40,7 +40,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = free_name(docs.columns, "cut")
-    out = line_dedup.remove_repeated_chunks(docs, removed=cut)
+    out = line_dedup.remove_shared_runs(docs, removed=cut)
     emptied = (F.col(cut) > 0) & (F.btrim("text", F.lit(SPACES)) == "")
     return _recounted(out.where(~F.coalesce(emptied, F.lit(False))).drop(cut))
 

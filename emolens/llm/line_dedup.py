@@ -1,13 +1,25 @@
-"""Deduplication of content-defined line chunks, in DataFrame operations only.
-
-A document's lines are hashed; a rolling hash over neighbouring line hashes
+"""Deduplication of repeated passages of lines, in DataFrame operations only.
+
+`remove_shared_runs` (op4, pipeline) finds every passage of two or more worded
+lines that lies elsewhere too, also one inside otherwise different documents.
+The rolling hash over each two neighbouring worded lines (with the blank lines
+between them) is a window of its own, so a match needs no line outside it, and
+overlapping windows extend it line by line to its full length.  Windows of one
+hash are compared byte for byte; a window that has an earlier place (smaller
+document id, then line) takes its lines out, with the blank lines after them.
+A window that overlaps its own first place does not count as later.  Every
+line taken out is still there at an earlier place.  Lines repeated alone stay.
+
+`remove_repeated_chunks` is the coarser form by content-defined chunks:
+a document's lines are hashed; a rolling hash over neighbouring line hashes
 chooses chunk boundaries, so that an insertion moves only the boundaries
 around it.  A chunk of several lines that occurs elsewhere, byte for byte, is
 removed everywhere but at its first place (smallest document id, then first
 chunk).  Chunks of one line, and chunks with fewer than two lines that hold
 a word, are never removed.
 
-Plan: (1) chunk hashes are counted, without texts; (2) the places of repeated
+Plan (of both; windows are joined by their hash, and by their bytes only where
+one hash has several texts): (1) chunk hashes are counted, without texts; (2) the places of repeated
 hashes are gathered per document and meet the documents once; only repeated
 chunks' texts move on; (3) they are grouped by their bytes (the comparison),
 which gives each text's first place; (4) later places are removed.  Counts
@@ -34,6 +46,72 @@ from emolens.llm.common import free_name, text_or_empty, written
 MODULUS = 3
 #: Two lines with a word at least; anchored and possessive, so one pass.
 SEVERAL = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D][^\n]*+\n[\x20\x09-\x0D]*+[^\x20\x09-\x0D]"
+#: A line end before a line with a word; possessive within the line, so linear.
+BEFORE_WORDED = r"\n(?=[\x20\x09\x0B-\x0D]*+[^\x20\x09-\x0D])"
+WORDED = r"[^\x20\x09-\x0D]"
+
+
+def units(text: Column) -> Column:
+    """Array of worded lines, each with the blank lines after it; blank lines
+    that begin the text are the first unit.  Joined by line ends they are the text."""
+    return F.split(text, BEFORE_WORDED, -1)
+
+
+def _line(unit: Column) -> Column:
+    """A unit without its blank lines."""
+    return F.substring_index(unit, "\n", 1)
+
+
+def _window_hashes(text: Column) -> Column:
+    """Hash of each two neighbouring units; null where the first holds no word."""
+    n = F.size(units(text)) - 1
+    return F.zip_with(F.slice(units(text), F.lit(1), n), F.slice(units(text), F.lit(2), n),
+                      lambda a, b: F.when(a.rlike(WORDED), F.xxhash64(a, _line(b))))
+
+
+def _with_units(text: Column, f) -> Column:
+    """``f`` of the units, which are made once, not for every use in a lambda."""
+    return F.get(F.transform(F.array(units(text)), f), F.lit(0))
+
+
+def remove_shared_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:
+    """``docs`` without later places of passages of two or more worded lines.
+
+    ``removed`` names an extra column: the number of passages cut."""
+    t, h, d, pos, drop = (free_name([*docs.columns, removed or ""], n) for n in ("t_", "h_", "d_", "pos_", "drop_"))
+    whole = docs.withColumn(t, text_or_empty(text)).withColumn(d, F.xxhash64(t))
+    with_lines = whole.where(F.col(text).isNotNull() & F.col(t).contains("\n")).select(key, d, t)
+    places = written(with_lines.select(key, d, F.posexplode(_window_hashes(F.col(t))).alias(pos, h)).where(F.col(h).isNotNull()), "windows")
+    repeated = places.groupBy(h).agg(F.count("*").alias("n")).where("n > 1").select(h)
+    of_document = places.join(repeated, h).groupBy(key, d).agg(F.collect_set(pos).alias(pos))
+
+    def same(a: str, b: str) -> Column:
+        return F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{key}")) & (F.col(f"{a}.{d}") == F.col(f"{b}.{d}"))
+
+    chosen = _with_units(F.col(f"a.{t}"), lambda u: F.transform(F.col(f"b.{pos}"), lambda i: F.struct(
+        i.alias("i"), F.xxhash64(F.get(u, i), _line(F.get(u, i + 1))).alias("h"), F.concat(F.get(u, i), F.lit("\n"), _line(F.get(u, i + 1))).alias("chunk"))))
+    suspects = (with_lines.alias("a").join(of_document.alias("b"), same("a", "b"))
+                .select(F.col(f"a.{key}").alias(key), F.col(f"a.{d}").alias(d), F.explode(chosen).alias("c"))
+                .select(key, d, F.col("c.i").alias(pos), F.col("c.h").alias(h), F.col("c.chunk").alias("chunk")))
+    suspects = written(suspects, "suspects")
+    place = F.struct(F.col(key), F.col(d), F.col(pos))
+    texts = written(suspects.groupBy(h, "chunk").agg(F.min(place).alias("first")), "texts")
+    several = texts.groupBy(h).agg(F.count("*").alias("n")).where("n > 1").select(h)
+    one = suspects.drop("chunk").join(texts.drop("chunk").join(several, h, "left_anti"), h)
+    clashing = suspects.join(several, h, "left_semi").join(texts.join(several, h, "left_semi"), [h, "chunk"]).drop("chunk")
+    own = F.col(f"first.{key}").eqNullSafe(F.col(key)) & (F.col(f"first.{d}") == F.col(d))
+    later = (one.unionByName(clashing).where((F.col("first") < place) & ~(own & (F.col(f"first.{pos}") == F.col(pos) - 1)))
+             .groupBy(key, d).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array(F.col(pos), F.col(pos) + 1))))).alias(drop)))
+    cut = F.col(f"b.{drop}")
+    kept = _with_units(F.col(f"a.{t}"), lambda u: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(u) - 1), cut), lambda i: F.get(u, i)))
+    new = F.when(cut.isNull(), F.col(f"a.{text}")).otherwise(F.array_join(kept, "\n"))
+    out = [(new if c == text else F.col(f"a.{c}")).alias(c) for c in docs.columns]
+    if removed:
+        # a passage begins where the line before is not cut
+        begins = F.size(F.array_except(cut, F.transform(cut, lambda i: i + 1)))
+        out.append(F.when(cut.isNull(), 0).otherwise(begins).alias(removed))
+    return whole.alias("a").join(later.alias("b"), same("a", "b"), "left").select(*out)
 
 
 def chunks(text: Column, modulus: int = MODULUS) -> Column:

@@ -34,7 +34,7 @@ def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_line_chunk_dedup")
 def op4_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.remove_repeated_chunks(docs, removed="n_chunks_removed")
+    return line_dedup.remove_shared_runs(docs, removed="n_chunks_removed")
 
 
 _OP5_SQL = """

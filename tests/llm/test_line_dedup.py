@@ -75,3 +75,70 @@ def test_null_id_is_first_and_empty_table(spark):
 def test_plan_has_no_python(spark):
     plan = line_dedup.remove_repeated_chunks(awkward(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def brute_runs(rows):
+    """rows: (id, text), one text per id -> texts, number of passages."""
+    def windows(t):
+        at = [i for i, x in enumerate(t.split("\n")) if W.search(x)]
+        return [(a, b, "\n".join(t.split("\n")[a:b + 1])) for a, b in zip(at, at[1:], strict=False)]
+
+    order = lambda i: (i is not None, i or 0)
+    first = {}
+    for i, t in sorted(rows, key=lambda r: order(r[0])):
+        for k, (_, _, c) in enumerate(windows(t or "")):
+            first.setdefault(c, (order(i), k))
+    out = []
+    for i, t in rows:
+        cut = set()
+        for k, (a, b, c) in enumerate(windows(t or "")):
+            if first[c] < (order(i), k) and first[c] != (order(i), k - 1):
+                cut |= set(range(a, b + 1))
+        lines = (t or "").split("\n")
+        for n in range(1, len(lines)):
+            if n - 1 in cut and not W.search(lines[n]):
+                cut.add(n)
+        out.append((i, t if t is None else "\n".join(x for n, x in enumerate(lines) if n not in cut),
+                    sum(bool(W.search(lines[n])) and not any(m in cut and W.search(lines[m]) and not any(W.search(x) for x in lines[m + 1:n])
+                                                             for m in range(n)) for n in cut)))
+    return out
+
+
+def test_runs_match_brute_force(spark):
+    rows = {i: t for i, t in ((r.doc_id, r.text) for r in awkward(spark).collect())}
+    rows.pop(None), rows.pop(12)
+    rows |= {30: "a\na\na", 31: "b\nb\nb\nb\nb", 32: "\n\na one\n\nb one\n \nc", 33: "x\na one\n\nb one\nc", 34: "q\na one\nb one", 35: "\n\n"}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, line_dedup.remove_shared_runs(docs, removed="n").collect()), key=str)
+    assert got == sorted(brute_runs(list(rows.items())), key=str)
+    assert dict((i, t) for i, t, _ in got)[31] == "b\nb" and dict((i, t) for i, t, _ in got)[30] == "a\na\na"
+
+
+def test_short_passages_inside_documents(spark):
+    rows = []
+    for n in range(2, 7):
+        passage = text(1000 + n, 9 * n)
+        rows += [(100 * n + k, f"{text(100 * n + k, 45)}\n{passage}\n{text(5000 + 100 * n + k, 45)}") for k in range(4)]
+    out = {r.doc_id: r for r in line_dedup.remove_shared_runs(spark.createDataFrame(rows, "doc_id long, text string"), removed="n").collect()}
+    for i, t in rows:
+        if i % 100 == 0:
+            assert out[i].text == t and out[i].n == 0
+        else:
+            assert out[i].text == f"{text(i, 45)}\n{text(5000 + i, 45)}" and out[i].n == 1
+
+
+def test_runs_of_equal_hash_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup.F, "xxhash64", lambda *a: F.hash(F.lit(1)).cast("long") + F.length(F.concat(*a)) * 0)
+    rows = [(1, "a\nb\nc\nd"), (2, "x\nb\nc\ny"), (3, "e\nf\ng\nh")]
+    out = dict(map(tuple, line_dedup.remove_shared_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert out == {1: "a\nb\nc\nd", 2: "x\ny", 3: "e\nf\ng\nh"}
+
+
+def test_runs_of_repeated_rows_nulls_and_plan(spark):
+    t = text(3, 200)
+    docs = spark.createDataFrame([(None, t), (1, t), (2, text(4, 90)), (2, text(4, 90))], "doc_id long, text string")
+    out = [tuple(r) for r in line_dedup.remove_shared_runs(docs).collect()]
+    assert sorted(out, key=str) == sorted([(None, t), (1, ""), (2, text(4, 90)), (2, text(4, 90))], key=str)
+    assert line_dedup.remove_shared_runs(empty(spark)).count() == 0
+    plan = line_dedup.remove_shared_runs(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

@@ -77,3 +77,11 @@ def test_run_and_empty_table(spark, tmp_path):
 
 def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "surrogates", "packing"]
+
+
+def test_every_stage_with_whole_passages_removed(spark, monkeypatch):
+    """Stage 2 against the brute force over all shared passages; the other stages as above."""
+    from tests.llm.test_line_dedup import brute_runs
+
+    monkeypatch.setitem(globals(), "dedup", lambda rows: [(i, t) for i, t, _ in brute_runs([(i, t) for i, t, _ in rows])])
+    test_every_stage_on_its_own_input(spark)
