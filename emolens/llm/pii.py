@@ -10,8 +10,11 @@ their own form, in every document.
 
 Collision checks: surrogates of different entities must differ, and no
 surrogate may be an entity of the corpus.  Entities that clash are drawn
-again until none does; `MOST_DRAWS` draws without an end mean that the type's
-number space is full, which is an error, not a silent clash.
+again until none does.  Later draws have more room: names get a further
+syllable every `LONGER_EVERY` draws; from draw `WIDER` on private addresses
+come from 10.0.0.0/8 and then from the reserved 240.0.0.0/4, phone numbers
+change their country code too.  `MOST_DRAWS` draws without an end are an error,
+not a silent clash.
 
 Plan: documents that hold a digit, an at sign or a title are scanned; only
 their spans are kept.  Entities are made distinct with map-side combine (one
@@ -40,6 +43,9 @@ from emolens.llm.common import free_name, text_chunks, written
 
 KEY = "replace-this-key"
 MOST_DRAWS = 64
+#: Draws after which a name gets a further syllable, and from which an address
+#: or number is taken from a larger range.
+LONGER_EVERY, WIDER = 2, 24
 
 MALE, FEMALE = "m", "f"
 #: Titles before a person's name, by gender.
@@ -159,14 +165,14 @@ def script_of(word: str) -> str:
     return "latin"
 
 
-def _name(draw: _Draw, gender: str, name: str) -> str:
+def _name(draw: _Draw, gender: str, name: str, longer: int = 0) -> str:
     out = []
     for i, part in enumerate(re.split(r"([ \-])", name)):
         if part in (" ", "-"):
             out.append(part)
             continue
         core, male, female = (x.split() for x in _SYLLABLES[script_of(part)])
-        word = "".join(core[draw.below(len(core))] for _ in range(max(2, min(6, len(part) // 2))))
+        word = "".join(core[draw.below(len(core))] for _ in range(max(2, min(6, len(part) // 2)) + longer))
         ends = female if gender == FEMALE and i == 0 else male
         out.append(word.rstrip("aeiouаеиоαειο") + ends[draw.below(len(ends))] if i == 0 else word + male[draw.below(len(male))])
     return "".join(out)
@@ -190,7 +196,7 @@ def surrogate(kind: str, entity: str, draw_no: int, key: str = KEY) -> str:
         return "".join(draw.like(c) for c in local) + f"@{host}.example.{domain.rpartition('.')[2]}"
     if kind == "phone":
         if entity.startswith("+"):
-            code = 1 if entity.startswith("+1") else 2
+            code = 0 if draw_no >= WIDER else 1 if entity.startswith("+1") else 2
             return "+" + _digits(draw, entity[1:], code)
         return _digits(draw, entity, 0)
     if kind == "ssn":
@@ -205,9 +211,12 @@ def surrogate(kind: str, entity: str, draw_no: int, key: str = KEY) -> str:
     if kind == "ipv4":
         a, b, *_ = map(int, entity.split("."))
         tail = lambda n: [str(draw.below(256)) for _ in range(n)]
+        private = a in (10, 127) or (a, b) == (192, 168) or a == 172 and 16 <= b < 32 or a == 169 and b == 254
+        if private and draw_no >= WIDER:
+            return ".".join(["10", *tail(3)] if draw_no < WIDER + 8 else [str(240 + draw.below(15)), *tail(3)])
         if a in (10, 127):
             return ".".join([str(a), *tail(3)])
-        if (a, b) == (192, 168) or a == 172 and 16 <= b < 32 or a == 169 and b == 254:
+        if private:
             return ".".join([str(a), str(b), *tail(2)])
         return ".".join([str(11 + draw.below(89)), *tail(2), str(1 + draw.below(254))])
     if kind == "access_key":
@@ -216,7 +225,7 @@ def surrogate(kind: str, entity: str, draw_no: int, key: str = KEY) -> str:
         letters = "abcdef" if re.fullmatch(r"[0-9a-fA-F]+", entity) else "abcdefghijklmnopqrstuvwxyz"
         return "".join(draw.like(c, letters) for c in entity)
     gender, _, name = entity.partition(":")
-    return _name(draw, gender, name)
+    return _name(draw, gender, name, draw_no // LONGER_EVERY)
 
 
 def render(kind: str, raw: str, canon: str) -> str:

@@ -88,5 +88,24 @@ def test_full_number_space_is_an_error(spark, monkeypatch):
         pii.draw_surrogates(private)
 
 
+def test_short_names_get_distinct_surrogates(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [("person", f"{g}:{a}{b}{c}") for g in "fm" for a in letters[:5] for b in letters[:20] for c in letters[:25]]
+    names += [("person", f"f:{a}{b}{c}") for a in "αβγδεζη" for b in "αειο" for c in "αβγδεζηθικλμνξοπρστυφχψω"]
+    out = pii.draw_surrogates(spark.createDataFrame(names, "kind string, entity string").repartition(4))
+    got = [(r.entity, r.surrogate) for r in out.collect()]
+    assert len(names) > 5000 and {e for e, _ in got} == {e for _, e in names}
+    assert len({s for _, s in got}) == len(got) == len(names) and not {s for _, s in got} & {e[2:] for _, e in names}
+
+
+def test_a_full_private_block_moves_to_a_larger_one(spark, monkeypatch):
+    monkeypatch.setattr(pii, "WIDER", 1)
+    private = spark.createDataFrame([("ipv4", f"192.168.{i}.{j}") for i in range(256) for j in range(256)], "kind string, entity string")
+    got = [r.surrogate for r in pii.draw_surrogates(private).collect()]
+    assert len(set(got)) == 65536 and all(x.startswith("10.") for x in got)
+    reserved = [pii.surrogate("ipv4", "10.1.2.3", 1 + 8 + n) for n in range(50)]
+    assert all(240 <= int(x.split(".")[0]) < 255 for x in reserved) and len(set(reserved)) == 50
+
+
 def test_empty_table(spark):
     assert pii.replace_entities(empty(spark)).count() == 0
