@@ -8,6 +8,12 @@ check digits that hold if the original's held, a name of the same script and
 gender.  Written forms of one entity (spacing, case) share the surrogate, in
 their own form, in every document.
 
+A titled name holds for its whole document: its full, first-only and last-only
+mentions without a title get the matching parts of the same surrogate, and a
+shorter titled name ("Mr Smith") belongs to the longer one of the same gender
+in that document ("Mr John Smith"); of several, to the one named last before,
+else first after.  Mentions are capitalised words; inflected forms are not linked.
+
 Collision checks: surrogates of different entities must differ, and no
 surrogate may be an entity of the corpus.  Entities that clash are drawn
 again until none does.  Later draws have more room: names get a further
@@ -30,8 +36,10 @@ white space stay linear.
 
 from __future__ import annotations
 
+import bisect
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -54,9 +62,12 @@ TITLES = {
     "Mrs": FEMALE, "Ms": FEMALE, "Miss": FEMALE, "Frau": FEMALE, "Madame": FEMALE, "Mme": FEMALE, "Señora": FEMALE, "Sra": FEMALE,
     "Госпожа": FEMALE, "г-жа": FEMALE, "Κυρία": FEMALE,
 }
-_UP = "A-ZÀ-ÖØ-ÞΑ-ΩА-Я"
-_LOW = "a-zß-öø-ÿά-ώа-яё"
-_NAME = rf"[{_UP}](?:['’]?[{_UP}{_LOW}])+(?:-[{_UP}][{_UP}{_LOW}]+)?"
+_MARK = "[\u0300-\u036f]*"
+_UP = "".join(c for c in map(chr, range(0xD800)) if unicodedata.category(c) in ("Lu", "Lt"))
+_NAME = rf"[{_UP}]{_MARK}(?:['’]?[^\W\d_]{_MARK})+(?:-[{_UP}]{_MARK}(?:[^\W\d_]{_MARK})+)?"
+#: Function words that begin sentences: never a name's part without its title.
+_NO_NAMES = frozenset("the a an and or but for of in on at to by he she it they we you is was his her this that then there der die das "
+                      "und ist sie er es wir ihr ein eine le la les un une et il elle nous vous el los las una y de que".split())
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![\w.%+\-])[\w.%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9\-])",
@@ -68,10 +79,11 @@ PATTERNS = {
     "phone": r"(?:(?<![\w+])\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}|(?<![\w+])\+\d{1,3}(?:[ .\-]\(?\d{2,4}\)?){2,5}"
              r"|(?<![\w(])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|(?<![\d.\-])\d{3}([.\-])\d{3}\1\d{4})(?!\d)",
     "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])",
-    "person": rf"(?<!\w)(?P<title>{'|'.join(TITLES)})\.? (?P<name>{_NAME}(?: {_NAME}){{0,2}})",
+    "person": rf"(?<!\w)(?P<title>{'|'.join(TITLES)})\.?\s{{1,3}}(?P<name>{_NAME}(?:[^\S\r\n]{{1,3}}{_NAME}){{0,2}})",
 }
 #: What a text must hold to be scanned.
-HINT = rf"[0-9@]|(?:{'|'.join(TITLES)})\.? "
+HINT = rf"[0-9@]|(?:{'|'.join(TITLES)})\.?[^A-Za-z0-9]"
+_names = re.compile(rf"(?<!\w){_NAME}").finditer
 _scan = {k: re.compile(v).finditer for k, v in PATTERNS.items()}
 
 
@@ -90,25 +102,102 @@ def iban_holds(s: str) -> bool:
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, entity) of the entities of a text in order; where
     they overlap, the type named first in `PATTERNS` wins."""
-    found = []
+    found: list[tuple[int, int, str, str]] = []
+
+    def add(a: int, b: int, kind: str, entity: str) -> None:
+        # spans in order do not overlap, so their neighbours tell
+        i = bisect.bisect(found, (a,))
+        if (i == len(found) or b <= found[i][0]) and (i == 0 or found[i - 1][1] <= a):
+            found.insert(i, (a, b, kind, entity))
+
     for kind in PATTERNS:
-        if kind not in ("secret", "access_key", "person") and not any(c in text for c in ("@" if kind == "email" else "0123456789")):
+        if kind == "person":
+            for a, b, entity in _persons(text):
+                add(a, b, kind, entity)
+            continue
+        if kind not in ("secret", "access_key") and not any(c in text for c in ("@" if kind == "email" else "0123456789")):
             continue
         for m in _scan[kind](text):
-            a, b = m.span({"secret": "secret_value", "person": "name"}.get(kind, 0))
+            a, b = m.span({"secret": "secret_value"}.get(kind, 0))
             raw = text[a:b]
             if kind == "iban" and not (15 <= len(raw.replace(" ", "")) <= 34 and iban_holds(raw.replace(" ", ""))):
                 continue
             if kind == "phone" and not 7 <= sum(c.isdigit() for c in raw) <= 15:
                 continue
             entity = canonical(kind, raw)
-            if kind == "person":
-                entity = f"{TITLES[m['title']]}:{entity}"
             if kind == "secret" and not any(c.isdigit() for c in raw):
                 continue
-            if not any(a < y and x < b for x, y, *_ in found):
-                found.append((a, b, kind, entity))
-    return sorted(found)
+            add(a, b, kind, entity)
+    return found
+
+
+def _unpossessed(text: str, a: int, b: int) -> int:
+    """The end of a name without a possessive s."""
+    return b - 2 if b - a > 3 and text[b - 2] in "'’" and text[b - 1] in "sS" else b
+
+
+def _persons(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, entity) of titled names and of their mentions."""
+    titled = []
+    for m in _scan["person"](text):
+        a, b = m.span("name")
+        b = _unpossessed(text, a, b)
+        titled.append((a, b, TITLES[m["title"]], tuple(canonical("person", text[a:b]).split())))
+    if not titled:
+        return []
+    # a shorter name belongs to a longer one of its gender that holds its parts
+    holders: dict[tuple[str, str], list[int]] = {}
+    for i, (_, _, gender, parts) in enumerate(titled):
+        for p in dict.fromkeys(parts):
+            holders.setdefault((gender, p), []).append(i)
+    longer: dict[tuple, list[int]] = {}
+    entities, out = [], []
+    for i, (a, b, gender, parts) in enumerate(titled):
+        if (gender, parts) not in longer:
+            longer[gender, parts] = [k for k in holders[gender, parts[-1]] if len(titled[k][3]) > len(parts) and _is_short_of(parts, titled[k][3])]
+        ks = longer[gender, parts]
+        if ks:
+            most = max(len(titled[k][3]) for k in ks)
+            ks = [k for k in ks if len(titled[k][3]) == most]
+            parts = titled[ks[max(0, bisect.bisect(ks, i) - 1)]][3]
+        entities.append((gender, parts))
+        out.append((a, b, f"{gender}:{' '.join(parts)}"))
+    # mentions: the titled places of every first and last part, and persons by first part
+    places: dict[str, list[int]] = {}
+    fulls: dict[str, dict[tuple, str]] = {}
+    for i, (gender, parts) in enumerate(entities):
+        for p in dict.fromkeys((parts[0], parts[-1])):
+            if p not in _NO_NAMES:
+                places.setdefault(p, []).append(i)
+        fulls.setdefault(parts[0], {}).setdefault(parts, gender)
+    words = []
+    for m in _names(text):
+        b = _unpossessed(text, *m.span())
+        words.append((m.start(), b, canonical("person", text[m.start():b])))
+    starts, i = [x[0] for x in titled], 0
+    while i < len(words):
+        a, b, word = words[i]
+        took, entity = 1, None
+        for parts, gender in fulls.get(word, {}).items():
+            for form in dict.fromkeys((parts, (parts[0], parts[-1]))):
+                n = len(form)
+                if took < n <= len(words) - i and all(words[i + k][2] == form[k] for k in range(n)) and all(
+                        0 < words[i + k][0] - words[i + k - 1][1] <= 3 and text[words[i + k - 1][1]:words[i + k][0]].isspace() for k in range(1, n)):
+                    took, b, entity = n, words[i + n - 1][1], f"{gender}:{' '.join(parts)}"
+        if entity is None and word in places:
+            of = places[word]
+            gender, parts = entities[of[max(0, bisect.bisect(of, bisect.bisect(starts, a) - 1) - 1)]]
+            entity = f"{gender}:{' '.join(parts)}"
+        if entity is not None:
+            out.append((a, b, entity))
+        i += took
+    return out
+
+
+def _is_short_of(parts: tuple, of: tuple) -> bool:
+    """Whether a shorter name is some of a longer one's parts, in order."""
+    left = iter(of)
+    return all(p in left for p in parts)
 
 
 def canonical(kind: str, raw: str) -> str:
@@ -158,7 +247,7 @@ _SYLLABLES = {
 
 def script_of(word: str) -> str:
     for c in word:
-        if "Α" <= c <= "ώ":
+        if "Ͱ" <= c <= "Ͽ" or "\u1f00" <= c <= "\u1fff":
             return "greek"
         if "Ѐ" <= c <= "ӿ":
             return "cyrillic"
@@ -228,12 +317,21 @@ def surrogate(kind: str, entity: str, draw_no: int, key: str = KEY) -> str:
     return _name(draw, gender, name, draw_no // LONGER_EVERY)
 
 
-def render(kind: str, raw: str, canon: str) -> str:
-    """A canonical surrogate in the written form of the original."""
+def render(kind: str, raw: str, canon: str, entity: str = "") -> str:
+    """A canonical surrogate in the written form of the original; of a person
+    (``entity``) the parts that the original names."""
     if kind in ("phone", "card", "ssn", "iban"):
         left = iter(canon.removeprefix("+") if kind == "phone" else canon)
         return "".join(next(left) if (c.isalnum()) else c for c in raw)
     if kind == "person":
+        old, new, named = entity[2:].split(), canon.split(), canonical(kind, raw).split()
+        if entity and len(named) < len(new) == len(old):
+            # from the end, so that a last name is the last part
+            at, left = [], len(old)
+            for p in reversed(named):
+                left = max((k for k in range(left) if old[k] == p), default=max(left - 1, 0))
+                at.append(left)
+            canon = " ".join(new[k] for k in reversed(at))
         return canon.upper() if raw.isupper() else re.sub(r"(^|[ \-])(\w)", lambda m: m[1] + m[2].upper(), canon)
     if kind == "email" and raw.isupper():
         return canon.upper()
@@ -303,7 +401,7 @@ def replace_entities(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     each = found.select(key, "text_hash", F.explode("spans").alias("s")).select(key, "text_hash", "s.*")
     chosen = draw_surrogates(written(each.select("kind", "entity").distinct(), "entities"), secret)
     todo = (each.join(chosen, ["kind", "entity"]).groupBy(F.col(key).alias("k_"), F.col("text_hash").alias("h_"))
-            .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "surrogate"))).alias(plan)))
+            .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "surrogate", "entity"))).alias(plan)))
 
     columns, extra = docs.columns, [StructField(replaced, LongType(), False)] if replaced else []
     schema = StructType([*docs.schema.fields, *extra])
@@ -315,7 +413,7 @@ def replace_entities(docs: DataFrame, key: str = "doc_id", text: str = "text", s
                 counts.append(len(steps or ()))
                 parts, at = [], 0
                 for s in steps or ():
-                    parts += [t[at:s["start"]], render(s["kind"], t[s["start"]:s["end"]], s["surrogate"])]
+                    parts += [t[at:s["start"]], render(s["kind"], t[s["start"]:s["end"]], s["surrogate"], s["entity"])]
                     at = s["end"]
                 out.append("".join([*parts, t[at:]]) if steps else t)
             cols = [pa.array(out, pa.string()) if c == text else b.column(c) for c in columns]

@@ -88,6 +88,28 @@ def test_full_number_space_is_an_error(spark, monkeypatch):
         pii.draw_surrogates(private)
 
 
+def test_mentions_share_the_surrogate_of_a_titled_name(spark):
+    text = ("John Smith was late. Mr. John Smith came. Smith said that John left. Mr Smith's hat, SMITH. "
+            "Mrs Anna  Smith and Mrs\nMaria Kowalska met Mr\u00a0Łukasz Žižek. Maria saw Žižek; Κυρία Άννα Έλληνα, Έλληνα. Smithson stays. The Smiths too.")
+    old = [text[a:b] for a, b, *_ in pii.detect(text)]
+    assert old == ["John Smith", "John Smith", "Smith", "John", "Smith", "SMITH", "Anna  Smith", "Maria Kowalska", "Łukasz Žižek", "Maria",
+                   "Žižek", "Άννα Έλληνα", "Έλληνα"]
+    new = pii.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    full = pii.surrogate("person", "m:john smith", 0).title().split()
+    assert new.startswith(f"{full[0]} {full[1]} was late. Mr. {full[0]} {full[1]} came. {full[1]} said that {full[0]} left. Mr {full[1]}'s hat, ")
+    for word in ("John", "Smith ", "SMITH", "Anna", "Maria", "Kowalska", "Łukasz", "Žižek", "Άννα", "Έλληνα"):
+        assert word not in new
+    assert new.endswith("Smithson stays. The Smiths too.") and pii.script_of(new.split("Κυρία ")[1].split()[0]) == "greek"
+
+
+def test_many_mentions_stay_linear():
+    import time
+    text = "Mr. John Smith came. " + "Smith saw John Smith. " * 20_000 + "".join(f"Mr A{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]} Smith. " for i in range(2000))
+    start = time.time()
+    assert len(pii.detect(text)) == 42_001
+    assert time.time() - start < 20
+
+
 def test_short_names_get_distinct_surrogates(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     names = [("person", f"{g}:{a}{b}{c}") for g in "fm" for a in letters[:5] for b in letters[:20] for c in letters[:25]]
