@@ -22,7 +22,7 @@ come from 10.0.0.0/8 and then from the reserved 240.0.0.0/4, phone numbers
 change their country code too.  `MOST_DRAWS` draws without an end are an error,
 not a silent clash.
 
-Plan: documents that hold a digit, an at sign or a title are scanned; only
+Plan: documents that hold a digit, an at sign, a title or a secret are scanned; only
 their spans are kept.  Entities are made distinct with map-side combine (one
 address in a third of all documents is one row), drawn in tasks and compared
 by joins.  Spans meet their surrogates by (type, entity) and their documents
@@ -43,7 +43,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -69,10 +69,12 @@ _NAME = rf"[{_UP}]{_MARK}(?:['’]?[^\W\d_]{_MARK})+(?:-[{_UP}]{_MARK}(?:[^\W\d_
 _NO_NAMES = frozenset("the a an and or but for of in on at to by he she it they we you is was his her this that then there der die das "
                       "und ist sie er es wir ihr ein eine le la les un une et il elle nous vous el los las una y de que".split())
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_SECRETS = r"(?i:token|password|passwd|pwd|secret|api[_\-]?key)"
 PATTERNS = {
     "email": r"(?<![\w.%+\-])[\w.%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9\-])",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?i:token|password|passwd|pwd|secret|api[_\-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?P<secret_value>[A-Za-z0-9_\-+/=.]{8,256})",
+    "secret": r"(?<![A-Za-z0-9])" + _SECRETS + r"[\"']?\s{0,3}[=:]\s{0,3}"
+              r"(?:(?P<quote>[\"'])(?P<quoted>(?:(?!(?P=quote))[^\r\n]){8,}+)(?P=quote)|[\"']?(?P<bare>[^\s\"'<>,;&(){}\[\]]{8,}+)(?!\())",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -81,8 +83,10 @@ PATTERNS = {
     "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])",
     "person": rf"(?<!\w)(?P<title>{'|'.join(TITLES)})\.?\s{{1,3}}(?P<name>{_NAME}(?:[^\S\r\n]{{1,3}}{_NAME}){{0,2}})",
 }
-#: What a text must hold to be scanned.
-HINT = rf"[0-9@]|(?:{'|'.join(TITLES)})\.?[^A-Za-z0-9]"
+#: What a text must hold to be scanned: a digit or at sign, a title, a secret's
+#: name before its sign, or the prefix of an access key.
+HINT_TITLE = rf"(?=[{''.join(sorted({x[0] for x in TITLES}))}])(?:{'|'.join(TITLES)})\.?[^A-Za-z0-9]"
+HINT_SECRET = _SECRETS.replace("(?i:", "(?iu:") + r"[^A-Za-z0-9]{0,4}[=:]"
 _names = re.compile(rf"(?<!\w){_NAME}").finditer
 _scan = {k: re.compile(v).finditer for k, v in PATTERNS.items()}
 
@@ -118,19 +122,34 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         if kind not in ("secret", "access_key") and not any(c in text for c in ("@" if kind == "email" else "0123456789")):
             continue
         for m in _scan[kind](text):
-            a, b = m.span({"secret": "secret_value"}.get(kind, 0))
+            a, b = m.span()
+            if kind == "secret":
+                a, b = m.span("quoted" if m["quoted"] else "bare")
+                if m["bare"]:
+                    b = a + len(text[a:b].rstrip(".?:"))
+                if not _is_secret(text[m.start():a], text[a:b], bool(m["quoted"])):
+                    continue
             raw = text[a:b]
             if kind == "iban" and not (15 <= len(raw.replace(" ", "")) <= 34 and iban_holds(raw.replace(" ", ""))):
                 continue
             if kind == "phone" and not 7 <= sum(c.isdigit() for c in raw) <= 15:
                 continue
             entity = canonical(kind, raw)
-            if kind == "secret" and not any(c.isdigit() for c in raw):
-                continue
             add(a, b, kind, entity)
     return found
 
 
+def _is_secret(before: str, value: str, quoted: bool) -> bool:
+    """Whether a value after a secret's name is one, not prose: behind an equals
+    sign or in quotes any value, else one with a digit; phrases behind an equals
+    sign only."""
+    if len(value) < 8 or not any(c.isalnum() for c in value):
+        return False
+    if "=" in before:
+        return True
+    return not any(c.isspace() for c in value) and (quoted or any(c.isdigit() for c in value))
+
+
 def _unpossessed(text: str, a: int, b: int) -> int:
     """The end of a name without a possessive s."""
     return b - 2 if b - a > 3 and text[b - 2] in "'’" and text[b - 1] in "sS" else b
@@ -312,7 +331,8 @@ def surrogate(kind: str, entity: str, draw_no: int, key: str = KEY) -> str:
         return entity[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw.below(32)] for _ in entity[4:])
     if kind == "secret":
         letters = "abcdef" if re.fullmatch(r"[0-9a-fA-F]+", entity) else "abcdefghijklmnopqrstuvwxyz"
-        return "".join(draw.like(c, letters) for c in entity)
+        # later draws change signs too, and lengthen
+        return "".join(draw.like(c if draw_no < 8 or c.isalnum() else "a", letters) for c in entity + "a" * max(0, draw_no - 15))
     gender, _, name = entity.partition(":")
     return _name(draw, gender, name, draw_no // LONGER_EVERY)
 
@@ -338,13 +358,20 @@ def render(kind: str, raw: str, canon: str, entity: str = "") -> str:
     return canon
 
 
+def hinted(text: str) -> Column:
+    """Whether a text may hold an entity; null for a null text."""
+    t = F.col(text)
+    return (t.rlike("[0-9@]") | (t.contains("=") | t.contains(":")) & t.rlike(HINT_SECRET)
+            | t.contains("AKIA") | t.contains("ASIA") | t.rlike(HINT_TITLE))
+
+
 _SPAN = StructType([StructField("start", LongType()), StructField("end", LongType()),
                     StructField("kind", StringType()), StructField("entity", StringType())])
 
 
 def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text_hash, spans) of the texts that hold entities."""
-    hashed = docs.where(F.col(text).rlike(HINT)).select(key, text, F.xxhash64(text).alias("text_hash"))
+    hashed = docs.where(hinted(text)).select(key, text, F.xxhash64(text).alias("text_hash"))
     schema = StructType([docs.schema[key], StructField("text_hash", LongType()), StructField("spans", ArrayType(_SPAN))])
     names = [f.name for f in _SPAN]
 
@@ -419,7 +446,7 @@ def replace_entities(docs: DataFrame, key: str = "doc_id", text: str = "text", s
             cols = [pa.array(out, pa.string()) if c == text else b.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(counts, pa.int64())] if replaced else []), schema.names)
 
-    hint = F.coalesce(F.col(text).rlike(HINT), F.lit(False))
+    hint = F.coalesce(hinted(text), F.lit(False))
     quiet = docs.where(~hint)
     if replaced:
         quiet = quiet.withColumn(replaced, F.lit(0).cast("long"))
