@@ -78,8 +78,11 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "phone": r"(?:(?<![\w+])\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}|(?<![\w+])\+\d{1,3}(?:[ .\-]\(?\d{2,4}\)?){2,5}"
-             r"|(?<![\w(])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|(?<![\d.\-])\d{3}([.\-])\d{3}\1\d{4})(?!\d)",
+    "phone": r"(?:(?<![\w+])\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}|(?<![\w+])\+[1-9](?:[ .\-/\xa0‑–]?\(?\d\)?){6,14}"
+             r"|(?<![\w(])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|(?<![\d.\-])\d{3}([.\-])\d{3}\1\d{4}"
+             # national forms: 3-3-4, pairs after a trunk 0, an area code with its 0, 9 digits from 6 to 9, area code and 7 digits
+             r"|(?<![\w.,+\-/])(?<!\d[ \xa0])(?:\d{3}[ \xa0]\d{3}[ \xa0]\d{4}|0\d(?:[ .\xa0]\d\d){4}|0\d{2,4}[ /\-\xa0]\d{3,8}(?:[ \-\xa0]\d{2,5}){0,3}"
+             r"|\(0\d{1,4}\)[ \xa0]?\d{3,8}(?:[ \-\xa0]\d{2,5}){0,3}|[6-9]\d{2}[ \xa0]\d{3}[ \xa0]\d{3}|[89]\d[ \xa0]\d{3}[ \xa0]\d\d[ \xa0]\d\d|[2-9]\d{2}[ \xa0]\d{7}))(?!\d)",
     "card": r"(?<![\d.\-])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])",
     "person": rf"(?<!\w)(?P<title>{'|'.join(TITLES)})\.?\s{{1,3}}(?P<name>{_NAME}(?:[^\S\r\n]{{1,3}}{_NAME}){{0,2}})",
 }
@@ -306,7 +309,8 @@ def surrogate(kind: str, entity: str, draw_no: int, key: str = KEY) -> str:
         if entity.startswith("+"):
             code = 0 if draw_no >= WIDER else 1 if entity.startswith("+1") else 2
             return "+" + _digits(draw, entity[1:], code)
-        return _digits(draw, entity, 0)
+        # a trunk 0 and the first digit of nine stay
+        return _digits(draw, entity, int(entity.startswith("0") or len(entity) == 9))
     if kind == "ssn":
         return _digits(draw, entity, 0)
     if kind == "card":

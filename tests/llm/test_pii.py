@@ -88,6 +88,24 @@ def test_full_number_space_is_an_error(spark, monkeypatch):
         pii.draw_surrogates(private)
 
 
+@pytest.mark.parametrize("number", [
+    "+491701234567", "+34612345678", "+49 30 1234567", "+49 170 1234567", "+33 1 42 68 53 00", "212 555 0187", "06 12 34 56 78", "+49 (0)30 1234567",
+    "+302101234567", "+7 495 123-45-67", "030 1234567", "0170 1234567", "0171/1234567", "(030) 1234567", "612 345 678", "91 123 45 67", "210 1234567",
+    "+1 269 555 3296", "(269) 555-3296", "269-555-3296", "06.12.34.56.78", "+44\u00a020\u00a07946\u00a00958"])
+def test_written_forms_of_phone_numbers(number):
+    for t in (number, f"call {number}, or not", f"Tel.: {number}. 4524132264652876 then"):
+        found = pii.detect(t)
+        assert [(t[a:b], k) for a, b, k, _ in found][:1] == [(number, "phone")]
+        new = replaced(t)
+        assert number not in new and [k for *_, k, _ in pii.detect(new)] == [k for *_, k, _ in found]
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", t)
+
+
+def test_other_numbers_are_no_phones():
+    for t in ("2024-01-02", "1,234,567.50", "from 1990 to 2024", "+12", "12 34 56", "10 000 000", "1 234 567 890 12"):
+        assert "phone" not in [k for *_, k, _ in pii.detect(t)], t
+
+
 def test_secrets_go_whole():
     long, opaque = "aB3-" * 200, "CorrectHorseBattery"
     for before, value, after in [("token=", long, " end"), ("password=", opaque, " end"), ('password="', "Corr$ect! horse {x} battery", '" end'),
