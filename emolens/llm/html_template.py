@@ -15,7 +15,9 @@ Occurrence vectors are never gathered: a vector is a sum over pages of a hash
 of (page, count), so classes come from two aggregates by (host, token) and
 (host, vector), combined map-side, however many pages a host has.  A host's
 template is bounded by the tokens of two average pages.  Pages meet their
-template by host; hosts with more than a thousandth of all pages (at most a
+template by host.  Rows of equal html on a host are one page of its template:
+rows of (host, page digest, tokens) meet by host and are counted there once
+each, so what one page only says leaves no task; hosts with more than a thousandth of all pages (at most a
 thousand, hence broadcast) are salted.
 
 Cases: null html and pages without text give an empty text; a null url is a
@@ -199,44 +201,81 @@ def host_of(url: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.col(url), r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?:[^/?#]*@)?([^/?#:]*)", 1))
 
 
+_TOKENS = "host string, salts int, salt int, digest binary, tokens array<long>"
 _COUNTED = "host string, token long, low long, high long, pages long, total long, place long"
 _M32 = (1 << 32) - 1
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each different page of a host in the task."""
+    seen: set[tuple] = set()
+    for b in batches:
+        rows: list[list] = [[], [], [], [], []]
+        for host, salts, salt, page in zip(*(b.column(c).to_pylist() for c in ("host", "salts", "salt", "html")), strict=True):
+            digest = xxhash.xxh3_128_digest(page)
+            if (host, digest) in seen:
+                continue
+            seen.add((host, digest))
+            for to, x in zip(rows, (host, salts, salt, digest, [_signed(t) for t in page_tokens(*read_page(page))]), strict=True):
+                to.append(x)
+        if rows[0]:
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], ["host", "salts", "salt", "digest", "tokens"])
+
+
+def _signed(t: int) -> int:
+    return t - (1 << 64) if t >> 63 else t
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and token, for the pages of a batch: the vector's share in
-    two 32-bit halves, pages, occurrences, and the place on the least page.
-    Token 0 counts pages."""
+    """Per host, salt and token, for rows in order of host, salt and digest: the
+    vector's share in two 32-bit halves, pages, occurrences, and the place on
+    the least page.  Token 0 counts pages.  Tokens of one page are left out
+    where a host has one salt."""
+    now, last, sums = None, None, {}
+
+    def flushed() -> pa.RecordBatch:
+        kept = [(t, s) for t, s in sums.items() if t == 0 or now[1] > 1 or s[2] > 1]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([now[0]] * len(kept), pa.string()), pa.array([t for t, _ in kept], pa.int64()),
+             *(pa.array([s[i] for _, s in kept], pa.int64()) for i in range(5))],
+            ["host", "token", "low", "high", "pages", "total", "place"])
+
     for b in batches:
-        sums: dict[tuple, list[int]] = {}
-        for host, key, page in zip(*(b.column(c).to_pylist() for c in ("host", "key", "html")), strict=True):
-            blocks, tags = read_page(page)
-            tokens = page_tokens(blocks, tags)
+        for *of, digest, tokens in zip(*(b.column(c).to_pylist() for c in ("host", "salts", "salt", "digest", "tokens")), strict=True):
+            if of != now:
+                if sums:
+                    yield flushed()
+                now, last, sums = of, None, {}
+            if digest == last:
+                continue
+            last = digest
             first: dict[int, int] = {}
             for i, t in enumerate(tokens):
                 first.setdefault(t, i)
-            page_hash = key & ((1 << 64) - 1)
+            page_hash = int.from_bytes(digest[:8], "little")
             for t, n in [*Counter(tokens).items(), (0, 1)]:
-                x = xxhash.xxh64_intdigest(page_hash.to_bytes(8, "little") + n.to_bytes(4, "little"))
-                s = sums.setdefault((host, t), [0, 0, 0, 0, 1 << 62])
+                x = xxhash.xxh64_intdigest(digest[:8] + n.to_bytes(4, "little"))
+                s = sums.setdefault(t, [0, 0, 0, 0, 1 << 62])
                 s[0] += x & _M32
                 s[1] += x >> 32
                 s[2] += 1
                 s[3] += n
                 s[4] = min(s[4], (page_hash >> 34 << 32) | first.get(t, 0))
-        if sums:
-            keys, values = list(sums), list(zip(*sums.values(), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in keys], pa.string()), pa.array([t - (1 << 64) if t >> 63 else t for _, t in keys], pa.int64()),
-                 *(pa.array(v, pa.int64()) for v in values)],
-                ["host", "token", "low", "high", "pages", "total", "place"])
+    if sums:
+        yield flushed()
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """(host, n_pages, classes) of hosts with a template; ``pages`` has
-    (host, key, html).  ``classes`` lists tokens with their class (vector),
+    (host, key, html), ``hot`` (host, salts) of hosts to deal out.  ``classes`` lists tokens with their class (vector),
     whether it is the root, and their order."""
-    sums = (pages.mapInArrow(_counted, _COUNTED).groupBy("host", "token")
+    salted = pages.join(F.broadcast(hot), "host", "left") if hot is not None else pages.withColumn("salts", F.lit(1))
+    # a null host has no template
+    salted = salted.where(F.col("host").isNotNull()).withColumn("salts", F.coalesce("salts", F.lit(1)))
+    salted = salted.select("host", "salts", F.pmod(F.xxhash64("html"), F.col("salts")).cast("int").alias("salt"), "html")
+    by_host = salted.mapInArrow(_tokens, _TOKENS).repartition("host", "salt").sortWithinPartitions("host", "salt", "digest")
+    sums = (by_host.mapInArrow(_counted, _COUNTED).groupBy("host", "token")
             .agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages", "total")], F.min("place").alias("place")))
     # a token on one page only is data; it is not kept
     sums = written(sums.where("token = 0 or pages > 1"), "tokens")
@@ -285,13 +324,13 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     rows = pages.select("page_id", "url", host_of().alias("host"), text_or_empty("html").alias("html")).withColumn(
         "key", F.xxhash64("page_id", "url"))
-    found = written(templates(rows.select("host", "key", "html")), "templates")
     counts = rows.groupBy("host").agg(F.count("*").alias("n"))
     total = rows.count()
     # hosts above the share: at most 1 / HOT_SHARE of them
     hot = counts.where((F.col("n") > total * HOT_SHARE) & (F.col("n") > PAGES_PER_SALT) & F.col("host").isNotNull()).select(
         "host", F.ceil(F.col("n") / PAGES_PER_SALT).cast("int").alias("salts"))
     hot = written(hot, "hot-hosts")
+    found = written(templates(rows.select("host", "key", "html"), hot), "templates")
     salts = F.coalesce("salts", F.lit(1))
     # a null host has no template; its pages are dealt out by key
     left = (rows.join(F.broadcast(hot), "host", "left")

@@ -48,6 +48,21 @@ def test_salting_changes_nothing(spark, monkeypatch):
     assert {tuple(r) for r in html_template.extract(pages).collect()} == before
 
 
+def test_copies_are_one_page_of_a_template(spark):
+    def copy(i, n):
+        return page(i, f"<p>Story {i} begins.</p><p>It ends {i}.</p>"), f"go {i}\nStory {i} begins.\nIt ends {i}.", n
+
+    rows, want = [], {}
+    for host, groups in (("three", [copy(1, 3)]), ("half", [copy(1, 3), copy(2, 1), copy(3, 1), copy(4, 1)]), ("rows", [copy(5, 6), copy(6, 2)])):
+        for h, text, n in groups:
+            for k in range(n):
+                i = len(rows)
+                rows.append((i, f"https://{host}.example/{'same' if host == 'rows' else i}", h, "", ""))
+                want[i] = text if host == "half" else f"Site name\n{text.replace(chr(10), chr(10) + 'home' + chr(10), 1)}\nAll rights reserved"
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert {r.page_id: r.text for r in html_template.extract(pages).collect()} == want
+
+
 def test_vectors_make_classes(spark):
     pages = spark.createDataFrame([(i, f"https://a.example/{i}", page(i, "<p>t</p>" * (1 + i % 3))) for i in range(9)], "page_id long, url string, html string")
     rows = pages.select(html_template.host_of().alias("host"), F.xxhash64("page_id").alias("key"), "html")
