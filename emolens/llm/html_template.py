@@ -9,7 +9,9 @@ once a page is the root of the template, the others (list items, cells)
 nest in the gaps between its tokens.  What lies in the gaps is data.  The
 main text is the data of the gaps that the template's own markup declares as
 article or, without such markup, the data of all gaps that are not navigation,
-advert, form, notice, comment or the like and that hold no template text.
+advert, form, notice, comment or the like.  Template text is data in neither;
+only where it is more than half of an article's text is the page a near copy
+of the others, and the article stays whole.
 
 Occurrence vectors are never gathered: a vector is a sum over pages of a hash
 of (page, count), so classes come from two aggregates by (host, token) and
@@ -185,14 +187,12 @@ def read_page(page: str) -> tuple[list[Block], list[str]]:
 
 def page_tokens(blocks: list[Block], tags: list[str]) -> list[int]:
     """64-bit tokens of a page in page order: tags, and whole text blocks in
-    their role.  Text that the markup declares as article is data, whatever
-    it says; it is no token."""
+    their role, in articles too."""
     out, k = [], 0
     for b in blocks:
         out += [xxhash.xxh64_intdigest(t) for t in tags[k:b.gap]]
         k = b.gap
-        if not b.main:
-            out.append(xxhash.xxh64_intdigest(b.path + "\0" + b.text()))
+        out.append(xxhash.xxh64_intdigest(b.path + "\0" + b.text()))
     return out + [xxhash.xxh64_intdigest(t) for t in tags[k:]]
 
 
@@ -294,6 +294,11 @@ def templates(pages: DataFrame, hot: DataFrame | None = None) -> DataFrame:
             F.col("tokens.token").alias("tokens")))).alias("classes")))
 
 
+def _own(blocks: list[Block], fixed: set[int]) -> list[Block]:
+    """Blocks that are no template text."""
+    return [b for b in blocks if xxhash.xxh64_intdigest(b.path + "\0" + b.text()) not in fixed] if fixed else blocks
+
+
 def main_text(page: str, classes: list[list[int]] | None) -> str:
     """The main text of a page; ``classes``: its host's template, the root
     first, each class's tokens in order."""
@@ -315,8 +320,11 @@ def main_text(page: str, classes: list[list[int]] | None) -> str:
     data = [b for b in blocks if not b.apart]
     if any(b.main for b in data):
         data = [b for b in data if b.main]
-    elif fixed:
-        data = [b for b in data if xxhash.xxh64_intdigest(b.path + "\0" + b.text()) not in fixed]
+        own = _own(data, fixed)
+        if 2 * sum(len(b.text()) for b in own) >= sum(len(b.text()) for b in data):
+            data = own
+    else:
+        data = _own(data, fixed)
     return "\n".join(b.text() for b in data)
 
 

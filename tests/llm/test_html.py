@@ -48,6 +48,19 @@ def test_salting_changes_nothing(spark, monkeypatch):
     assert {tuple(r) for r in html_template.extract(pages).collect()} == before
 
 
+def test_template_text_in_articles_goes(spark):
+    def story(i, extra="<p>Share this story.</p><p>By the staff</p>"):
+        return page(i, f"<article><h1>Title {i}</h1><p>Story {i} begins here and goes on.</p>{extra}<p>It ends with {i}.</p></article>")
+
+    rows = [(i, f"https://a.example/{i}", story(i), "", "") for i in range(20)]
+    rows += [(100 + k, f"https://b.example/{k}", story(5, "<p>A long paragraph of the one article.</p>" * 2 + f"<p>Version {k}</p>"), "", "") for k in range(5)]
+    out = {r.page_id: r.text for r in html_template.extract(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    for i in range(20):
+        assert out[i] == f"Title {i}\nStory {i} begins here and goes on.\nIt ends with {i}."
+    for k in range(5):
+        assert out[100 + k].startswith("Title 5\nStory 5 begins") and f"Version {k}\nIt ends with 5." in out[100 + k]
+
+
 def test_copies_are_one_page_of_a_template(spark):
     def copy(i, n):
         return page(i, f"<p>Story {i} begins.</p><p>It ends {i}.</p>"), f"go {i}\nStory {i} begins.\nIt ends {i}.", n
