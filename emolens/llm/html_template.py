@@ -66,6 +66,15 @@ APART_NAMES = frozenset(
     "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice alert popup modal overlay "
     "newsletter subscribe subscription share sharing social related recommended recommendations comment comments disqus "
     "reply replies respond widget widgets pagination pager toolbar login signup signin search skip complementary contentinfo".split())
+#: Of them, names of places whose articles are not the page's own.
+ASIDE_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner promo promotion sponsor sponsored sidebar side menu nav navbar navigation "
+    "breadcrumb breadcrumbs footer related recommended recommendations comment comments disqus reply replies respond widget widgets "
+    "complementary contentinfo".split())
+#: Words that leave the meaning of such a name: "ad-slot", "site-header".
+NEUTRAL = frozenset("site page top bottom left right primary secondary global main box block wrap wrapper container area list item items section "
+                    "bar inner outer unit slot group panel links posts articles stories form title text icons buttons button".split())
+HARD, SOFT, FREE = 2, 1, 0
 COMMENT_NAMES = frozenset("comment comments reply replies respond".split())
 CLOSES_P = BLOCKS - frozenset(("html", "head", "body", "title", "button", "label", "select", "option", "iframe", "object", "svg",
                                "math", "canvas", "audio", "video", "noscript", "template", "textarea"))
@@ -87,7 +96,7 @@ class Block:
     """A run of text between block tags."""
 
     path: str
-    apart: bool
+    apart: int
     main: bool
     gap: int
     pieces: list[str] = field(default_factory=list)
@@ -96,18 +105,32 @@ class Block:
         return " ".join("".join(self.pieces).split())
 
 
-def _labels(attributes: str) -> tuple[str, set[str]]:
+def _labels(attributes: str) -> tuple[str, list[set[str]]]:
+    """The names in a tag's label, and each name's words."""
     found = [(a or b or c).lower() for _, a, b, c in _NAMES.findall(attributes)] if attributes else []
-    words: set[str] = set()
-    for x in found:
-        words.update(_SPLIT.split(x))
+    words = [w for x in found for name in x.split() if (w := {y for y in _SPLIT.split(name) if y})]
     return " ".join(re.sub(r"\d+", "0", x) for x in found), words
 
 
+def _apart(names: list[set[str]], main: bool) -> int:
+    """How far whole names put a block apart: every word of one must say so or
+    be neutral ("no-sidebar", "content-sidebar-wrap", "entry-header" do not)."""
+    level = FREE
+    for words in names:
+        said = words & APART_NAMES
+        if said and words <= APART_NAMES | NEUTRAL and not (main and said <= {"header", "masthead"}):
+            level = max(level, HARD if said & ASIDE_NAMES else SOFT)
+    return level
+
+
+def _comment(names: list[set[str]]) -> bool:
+    return any(words & COMMENT_NAMES and words <= COMMENT_NAMES | NEUTRAL for words in names)
+
+
 def read_page(page: str) -> tuple[list[Block], list[str]]:
     """Text blocks in page order, and the page's tag tokens in order; a
     block's ``gap`` is the number of tag tokens before it."""
-    stack: list[tuple[str, str, bool, bool]] = []
+    stack: list[tuple[str, str, int, bool]] = []
     blocks: list[Block] = []
     tags: list[str] = []
     current: Block | None = None
@@ -118,7 +141,7 @@ def read_page(page: str) -> tuple[list[Block], list[str]]:
     def add(raw: str) -> None:
         nonlocal current
         if current is None:
-            apart, main = (stack[-1][2], stack[-1][3]) if stack else (False, False)
+            apart, main = (stack[-1][2], stack[-1][3]) if stack else (FREE, False)
             current = Block(path(), apart, main, len(tags))
             blocks.append(current)
         current.pieces.append(entities.unescape(raw) if "&" in raw else raw)
@@ -166,14 +189,17 @@ def read_page(page: str) -> tuple[list[Block], list[str]]:
                 break
         current = None
         label, words = _labels(attributes)
-        apart, main = (stack[-1][2], stack[-1][3]) if stack else (False, False)
+        apart, main = (stack[-1][2], stack[-1][3]) if stack else (FREE, False)
         if name in APART or name == "header" and not main:
-            apart = True
+            apart = max(apart, SOFT if name == "form" and not main else HARD)
         elif name in MAIN:
-            apart = apart or bool(words & COMMENT_NAMES)
+            # of a layout wrapper or a form around the page, not of an aside
+            apart = HARD if apart == HARD or _comment(words) else FREE
             main = True
-        elif name not in ("html", "body") and words & APART_NAMES:
-            apart = True
+        elif name not in ("html", "body"):
+            level = _apart(words, main)
+            # within an article nothing apart holds the page's own article
+            apart = max(apart, HARD if level and main else level)
         role = f"{path()}/{name}" + (f"[{label}]" if label else "")
         tags.append(role)
         if name not in VOID and not attributes.rstrip().endswith("/"):
@@ -318,6 +344,11 @@ def main_text(page: str, classes: list[list[int]] | None) -> str:
             if len(counts) == 1 and counts != {0}:
                 fixed.update(one)
     data = [b for b in blocks if not b.apart]
+    if not any(b.main for b in data):
+        # a form or wrapper around the page: more than half of the page's text
+        soft = [b for b in blocks if b.apart == SOFT]
+        if sum(len(b.text()) for b in soft) > sum(len(b.text()) for b in data):
+            data = [b for b in blocks if b.apart != HARD]
     if any(b.main for b in data):
         data = [b for b in data if b.main]
         own = _own(data, fixed)

@@ -48,6 +48,23 @@ def test_salting_changes_nothing(spark, monkeypatch):
     assert {tuple(r) for r in html_template.extract(pages).collect()} == before
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<div class='content-sidebar-wrap'><main><article><p>t</p></article></main></div>", "t"),
+    ("<div class='no-sidebar'><p>t</p></div><div class='sidebar'>s</div>", "t"),
+    ("<article class='comments-open'><p>t</p></article>", "t"),
+    ("<form id='aspnetForm'><article><p>t</p></article></form>", "t"),
+    ("<form id='aspnetForm'><nav>n</nav><div><p>the text of a page</p></div><div class='sidebar'>s</div></form>", "the text of a page"),
+    ("<div class='overlay'><main><p>t</p></main></div>", "t"),
+    ("<article><div class='entry-header'><h1>H</h1></div><div class='header'>D</div><section class='related-work'><p>r</p></section></article>", "H\nD\nr"),
+    ("<main><p>t</p></main><aside><article>no</article></aside><div class='related-posts'><article>no</article></div>", "t"),
+    ("<article>t</article><ol class='comment-list'><li><article>no</article></ol><footer><article>no</article></footer>", "t"),
+    ("<p>a longer text of the page</p><form>search here</form><div class='share'>s</div>", "a longer text of the page"),
+    ("<article><p>t</p><div class='share-buttons'><article>no</article></div></article>", "t"),
+])
+def test_wrappers(html, text):
+    assert html_template.main_text(html, None) == text
+
+
 def test_template_text_in_articles_goes(spark):
     def story(i, extra="<p>Share this story.</p><p>By the staff</p>"):
         return page(i, f"<article><h1>Title {i}</h1><p>Story {i} begins here and goes on.</p>{extra}<p>It ends with {i}.</p></article>")
