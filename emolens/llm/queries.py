@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emolens.llm import bpe, html_template, line_dedup, ngram_join, packing, pii, rules, suffix, topk, warc
+from emolens.llm import (bpe, chat, html_template, line_dedup, merkle, ngram_join, packing, pii, rules, suffix, topk,
+                         variants, warc)
 from emolens.llm.registry import register, table
 
 @register("op2_main_text")
@@ -130,3 +131,144 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.col("failure_bits").bitwiseAND(F.lit(rules.policy_mask("base"))) != 0
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       base.alias("base_failed"), "kept")
+
+
+_OP11_SQL = r"""
+WITH c AS (
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, NULL, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, NULL, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '<\\*\|')) AS n_text,
+         length(replace(replace(role, '%', '%25'), chr(10), '%0A')) + len(regexp_extract_all(role, '<\\*\|')) AS n_role
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n_text + n_role + 24) AS BIGINT) AS formatted_chars,
+       CASE list(role ORDER BY turn NULLS FIRST, role, text) WHEN ['user', 'assistant'] THEN 'prompt'
+            WHEN ['system', 'user', 'assistant'] THEN 'instruction'
+            ELSE CASE WHEN bool_and(role IN ('user', 'assistant')) THEN 'share' ELSE 'messages' END END AS layout
+FROM e GROUP BY conv_id, alone
+"""
+
+
+@register("op11_chat_format", _OP11_SQL)
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("<|im_end|><|im_start|>assistant ok")
+    hard = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    return chat.chat_digests(rows.unionByName(hard))
+
+
+#: The table of the CRC-32 by bytes.
+_CRC_SQL = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t)"""
+
+_OP12_SQL = r"""
+WITH RECURSIVE """ + _CRC_SQL + r""",
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{6,}')) AS w FROM documents),
+low AS (
+  SELECT id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+  FROM runs GROUP BY ALL),
+h AS (
+  SELECT w, n, xor(list_reduce(flatten(list_transform(string_split(id || ':' || w, ''), lambda x:
+      CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+           ELSE [192 + (CAST(unicode(x) AS BIGINT) >> 6), 128 + (CAST(unicode(x) AS BIGINT) & 63)] END)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM low, crc),
+x AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM x WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gone AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other FROM gone a JOIN gone b ON a.i = b.i AND a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, v.word FROM gone a JOIN v ON v.word = a.k
+  UNION SELECT v.word, a.word FROM gone a JOIN v ON v.word = a.k),
+best AS (
+  SELECT v.word, v.n, count(other) AS n_near,
+         arg_min(other, (-o.n, encode(other))) AS form, max(o.n) AS form_n
+  FROM v LEFT JOIN near ON near.word = v.word LEFT JOIN v o ON o.word = near.other GROUP BY v.word, v.n),
+form AS (
+  SELECT word, n, n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM best),
+chain(word, root, next) AS (
+  SELECT word, word, form FROM form
+  UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN form f ON f.word = c.next)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM form f JOIN chain c ON c.word = f.word AND c.next IS NULL
+"""
+
+
+@register("op12_spelling_variants", _OP12_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+_OP13_SQL = """
+WITH RECURSIVE """ + _CRC_SQL + """,
+d AS (
+  SELECT row_number() OVER () AS r, *, coalesce('=' || lang, '') AS grp,
+    CASE WHEN xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 3 = 0
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed
+  FROM documents, crc),
+x AS (
+  SELECT r, doc_id, grp,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS body, coalesce(strlen(changed) || ':' || changed, '-') AS body2
+  FROM d),
+leaf AS (
+  SELECT r, doc_id, grp, sha256(head || body) AS h, sha256(head || body2) AS h2 FROM x),
+place AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h, r) - 1 AS pos,
+    count(*) OVER (PARTITION BY grp) AS n FROM leaf),
+node(grp, level, pos, n, h) AS (
+  SELECT grp, 0, pos, n, h FROM place
+  UNION ALL
+  SELECT grp, any_value(level) + 1, pos // 8, any_value(n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM node WHERE n > 1 GROUP BY grp, pos // 8),
+sub AS (
+  SELECT grp, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+upper(level, pos, n, h) AS (
+  SELECT 0, pos, n, subroot FROM sub
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 8, any_value(n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY pos // 8),
+kin AS (
+  SELECT a.grp, a.level, a.pos, string_agg(CASE WHEN b.pos < a.pos THEN b.h ELSE '' END, '' ORDER BY b.pos) AS lefts,
+    string_agg(CASE WHEN b.pos > a.pos THEN b.h ELSE '' END, '' ORDER BY b.pos) AS rights
+  FROM node a JOIN node b ON a.grp = b.grp AND a.level = b.level AND a.pos // 8 = b.pos // 8
+  WHERE a.n > 1 GROUP BY a.grp, a.level, a.pos),
+upkin AS (
+  SELECT a.level, a.pos, string_agg(CASE WHEN b.pos < a.pos THEN b.h ELSE '' END, '' ORDER BY b.pos) AS lefts,
+    string_agg(CASE WHEN b.pos > a.pos THEN b.h ELSE '' END, '' ORDER BY b.pos) AS rights
+  FROM upper a JOIN upper b ON a.level = b.level AND a.pos // 8 = b.pos // 8
+  WHERE a.n > 1 GROUP BY a.level, a.pos),
+step AS (
+  SELECT p.r, k.level, k.lefts, k.rights FROM place p JOIN kin k ON k.grp = p.grp AND k.pos = p.pos // CAST(8 ** k.level AS BIGINT)
+  UNION ALL
+  SELECT p.r, 1000 + u.level, u.lefts, u.rights
+  FROM place p JOIN sub s ON s.grp = p.grp JOIN upkin u ON u.pos = s.pos // CAST(8 ** u.level AS BIGINT)),
+path AS (
+  SELECT r, sha256(string_agg(lefts || rights, '' ORDER BY level)) AS proof_sha256,
+    list({'l': lefts, 'r': rights} ORDER BY level) AS steps FROM step GROUP BY r)
+SELECT p.doc_id, p.h AS leaf, s.subroot, u.h AS root, coalesce(path.proof_sha256, sha256('')) AS proof_sha256,
+  coalesce(list_reduce(list_transform(steps, lambda e: [e.l, e.r]), lambda a, e: [sha256(e[1] || a[1] || e[2])], [p.h2])[1], p.h2) AS folded_root,
+  coalesce(list_reduce(list_transform(steps, lambda e: [e.l, e.r]), lambda a, e: [sha256(e[1] || a[1] || e[2])], [p.h2])[1], p.h2) = u.h AS verified
+FROM place p JOIN sub s ON s.grp = p.grp JOIN upper u ON u.n = 1 LEFT JOIN path USING (r)
+"""
+
+
+@register("op13_merkle_manifest", _OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_tampered(table(spark, sf_dir, "documents"))
