@@ -8,12 +8,13 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-WITH_SQL = ["op3_warc_round_trip", "op5_top_k_search", "op10_quality_rules"]
+WITH_SQL = ["op3_warc_round_trip", "op5_top_k_search", "op10_quality_rules", "op11_chat_format", "op12_spelling_variants",
+            "op13_merkle_manifest"]
 
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in names} and "pipeline" in names
     assert set(WITH_SQL) <= set(entry.oracle_sql())
 
 
