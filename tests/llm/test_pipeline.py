@@ -6,10 +6,10 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from emolens.llm import line_dedup, pii, rules
+from emolens.llm import pii, rules
 from emolens.llm.common import shared_folder
 from tests.llm.data import awkward, awkward_rows, empty
-from tests.llm.test_line_dedup import brute as dedup
+from tests.llm.test_line_dedup import brute_runs
 from tests.llm.test_ngram_join import brute as classes
 from tests.llm.test_rules import brute as measures
 
@@ -43,8 +43,7 @@ def test_every_stage_on_its_own_input(spark):
 
     assert texts(ruled) == sorted(((i, t) for i, t, *_ in awkward_rows() if keeps(t)), key=str)
 
-    chunked = ruled.select("doc_id", "text", line_dedup.chunks(ruled.text).alias("c")).where("doc_id is not null").collect()
-    want = [(i, t) for i, t in dedup([(r.doc_id, r.text, r.c) for r in chunked]) if W.search(t)]
+    want = [(i, t) for i, t, _ in brute_runs([x for x in texts(ruled) if x[0] is not None]) if W.search(t)]
     assert [x for x in texts(cut) if x[0] is not None] == sorted(want, key=str)
     assert all(r.n_chars == len(r.text) for r in cut.collect())
 
@@ -77,11 +76,3 @@ def test_run_and_empty_table(spark, tmp_path):
 
 def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "surrogates", "packing"]
-
-
-def test_every_stage_with_whole_passages_removed(spark, monkeypatch):
-    """Stage 2 against the brute force over all shared passages; the other stages as above."""
-    from tests.llm.test_line_dedup import brute_runs
-
-    monkeypatch.setitem(globals(), "dedup", lambda rows: [(i, t) for i, t, _ in brute_runs([(i, t) for i, t, _ in rows])])
-    test_every_stage_on_its_own_input(spark)
