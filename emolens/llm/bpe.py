@@ -3,9 +3,11 @@
 A pair of neighbouring bytes that occurs inside no vocabulary token can never
 be joined by a merge, so a cut between them is certain.  A text is cut at
 white space, at the pre-tokenizer's boundaries and at these byte pairs; the
-fragments are encoded independently (most of them from a cache of fragments
-already seen by the task) and their ids concatenated.  No shuffle: one pass
-over the rows, memory bounded by the caches and the longest text.
+fragments are encoded independently and their ids concatenated.  Words come
+from a cache of a fixed number of bytes; those of a slice of texts that it
+lacks are cut and encoded together, by array operations over all their
+fragments.  No shuffle: one pass over the rows, memory bounded by the cache
+and the longest text.
 
 Built for tokenizer files whose pre-tokenizer is the word pattern
 `WORD_PATTERN` and whose model is BPE over byte characters with an
@@ -24,7 +26,6 @@ import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,12 @@ from emolens.llm.common import text_chunks
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SUFFIX = "</w>"
 
-#: Fragments kept per generation of a cache.
-CACHE = 120_000
+#: Bytes of text encoded together.
+SLICE = 1_000_000
+
+#: Bytes kept per generation of the cache, and what an entry takes besides
+#: its text and ids.
+CACHE, ENTRY = 20_000_000, 200
 
 #: The white space of the pattern's \s, as a character class.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -55,91 +60,196 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in own else chr(next(free)) for b in range(256)]
 
 
-class _Known(dict):
-    """Ids of fragments in two generations: a missing fragment is taken from
-    the older one or computed; a full younger one becomes the older."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self._compute, self._older = compute, {}
-
-    def __missing__(self, fragment: str) -> bytes:
-        ids = self._older.get(fragment)
-        if ids is None:
-            ids = self._compute(fragment)
-        if len(self) >= CACHE:
-            self._older = dict(self)
-            self.clear()
-        self[fragment] = ids
-        return ids
+class _Merges:
+    """The merges as an open-addressing table: a pair of ids -> its rank."""
+
+    NONE = np.int32(2**31 - 1)
+
+    def __init__(self, pairs: np.ndarray):
+        bits = max(8, int(len(pairs) * 8).bit_length())
+        self._shift = np.uint64(64 - bits)
+        self._keys = np.full(1 << bits, -1, np.int64)
+        self._ranks = np.full(1 << bits, self.NONE, np.int32)
+        keys = pairs[:, 0].astype(np.int64) << 32 | pairs[:, 1]
+        slots, todo, self._probes = self._slot(keys), np.arange(len(keys)), 0
+        while len(todo):  # a slot taken by another pair: the next one
+            free = todo[self._keys[slots[todo]] < 0]
+            _, first = np.unique(slots[free], return_index=True)
+            put = free[first]
+            self._keys[slots[put]], self._ranks[slots[put]] = keys[put], put
+            todo = np.setdiff1d(todo, put)
+            slots[todo] = (slots[todo] + 1) & (len(self._keys) - 1)
+            self._probes += 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).astype(np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 32 | right
+        slots = self._slot(keys)
+        out = np.where(self._keys[slots] == keys, self._ranks[slots], self.NONE)
+        for _ in range(self._probes - 1):
+            slots = (slots + 1) & (len(self._keys) - 1)
+            hit = self._keys[slots] == keys
+            out[hit] = self._ranks[slots[hit]]
+        return out
 
 
 class BoundaryEncoder:
     """Encoder and decoder of one tokenizer file; one per task process."""
 
     def __init__(self, path: str):
-        from tokenizers.models import BPE
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, pre = spec["model"], json.dumps(spec["pre_tokenizer"])
         kinds = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        if model["type"] != "BPE" or model.get("end_of_word_suffix") != SUFFIX \
+        if model["type"] != "BPE" or model.get("end_of_word_suffix") != SUFFIX or model.get("continuing_subword_prefix") \
                 or json.dumps(WORD_PATTERN) not in pre or kinds != ["NFC", "Replace", "Lowercase"] \
                 or spec["decoder"] is not None or spec["post_processor"] is not None:
             raise ValueError(f"{path}: not a word BPE file of the expected form")
         vocab = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self._last = BPE(vocab, merges, end_of_word_suffix=SUFFIX)
-        self._inner = BPE(vocab, merges)
+        pairs = np.array([(vocab[a], vocab[b]) for a, b in merges], np.int32).reshape(-1, 2)
+        self._made = np.array([vocab[a + b] for a, b in merges], np.int32)
+        # a token is made by one merge, after its parts: so all places of the
+        # lowest pair can be joined at once
+        if (np.diff(self._made) <= 0).any() or (pairs.max(axis=1, initial=0) >= self._made).any():
+            raise ValueError(f"{path}: tokens are not made in the order of their merges")
+        self._merges = _Merges(pairs)
+        self._byte = byte_characters()
+        self._inner = np.array([vocab[c] for c in self._byte], np.int32)
+        self._last = np.array([vocab[c + SUFFIX] for c in self._byte], np.int32)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.tokens = {i: t for t, i in (vocab | self.special).items()}
         self.joined = {pair for t in vocab for pair in zip(t.removesuffix(SUFFIX), t.removesuffix(SUFFIX)[1:], strict=False)}
-        self._byte = byte_characters()
-        apart = [a + b for a in ascii_lowercase for b in ascii_lowercase if (a, b) not in self.joined]
-        self._letters_cut = regex.compile("|".join(apart) or "(?!)").search
-        # a pre-token is encoded as a word of its own, so one cache holds both
-        self._known = _Known(self._word)
+        self._apart = np.array([[(a, b) not in self.joined for b in self._byte] for a in self._byte])
+        self._known: dict = {}
+        self._older: dict = {}
+        self._held = 0
 
     def fragments(self, piece: str) -> list[str]:
         """A pre-token as byte characters, cut at the forced boundaries."""
-        if piece.isascii() and piece.isalpha() and piece.islower() and not self._letters_cut(piece):
-            return [piece]
-        s = piece if piece.isascii() and piece.isprintable() else "".join([self._byte[b] for b in piece.encode("utf-8")])
-        cuts = [i for i, pair in enumerate(zip(s, s[1:], strict=False), 1) if pair not in self.joined]
-        return [s[a:b] for a, b in zip([0, *cuts], [*cuts, len(s)], strict=True)] if cuts else [s]
-
-    def _piece(self, piece: str) -> bytes:
-        *inner, last = self.fragments(piece)
-        ids = [t.id for t in self._last.tokenize(last)]
-        if inner:
-            ids = [t.id for f in inner for t in self._inner.tokenize(f)] + ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _word(self, word: str) -> bytes:
-        # letters alone are one pre-token, and so is a full stop or comma after them
-        if word.isalpha():
-            return self._piece(word)
-        if word[:-1].isalpha() and word[-1] in ".,":
-            return self._known[word[:-1]] + self._known[word[-1]]
-        pieces = _PIECES(word)
-        return self._piece(word) if pieces == [word] else b"".join(map(self._known.__getitem__, pieces))
-
-    def _plain(self, text: str) -> bytes:
+        code = np.frombuffer(piece.encode("utf-8"), np.uint8)
+        cuts = (np.flatnonzero(self._apart[code[:-1], code[1:]]) + 1).tolist()
+        s = "".join([self._byte[b] for b in code])
+        return [s[a:b] for a, b in zip([0, *cuts], [*cuts, len(s)], strict=True)]
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pre-tokens.  All are cut at the forced boundaries and
+        the fragments encoded at once, each by itself: in every round each
+        fragment joins the places of its lowest pair."""
+        none = _Merges.NONE
+        code = np.frombuffer("".join(pieces).encode("utf-8"), np.uint8)
+        size = np.fromiter((len(p) if p.isascii() else len(p.encode("utf-8")) for p in pieces), np.int64, len(pieces))
+        ends = np.cumsum(size) - 1
+        begins = np.zeros(len(code) + 1, bool)
+        begins[0] = begins[ends + 1] = True
+        begins[1:-1] |= self._apart[code[:-1], code[1:]]
+        of = np.cumsum(begins[:-1], dtype=np.int32)
+        piece_of = np.repeat(np.arange(len(pieces), dtype=np.int32), size)[begins[:-1]]  # by fragment
+        ids = self._inner[code]
+        ids[ends] = self._last[code[ends]]
+
+        def at(i: np.ndarray) -> np.ndarray:
+            """Ranks of the pairs that begin at some places."""
+            out = np.full(len(i), none, np.int32)
+            inner = i + 1 < len(ids)
+            inner[inner] = of[i[inner]] == of[i[inner] + 1]
+            out[inner] = self._merges.ranks(ids[i[inner]], ids[i[inner] + 1])
+            return out
+
+        rank, done = at(np.arange(len(ids))), []
+        while len(of):
+            starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            length = np.diff(starts, append=len(of))
+            best = np.minimum.reduceat(rank, starts)
+            going = best < none
+            if not going.all():
+                on = np.repeat(going, length)
+                done.append((of[~on], ids[~on]))
+                of, ids, rank, best, length = of[on], ids[on], rank[on], best[going], length[going]
+                if not len(of):
+                    break
+            hit = np.flatnonzero(rank == np.repeat(best, length))
+            # of overlapping places of a doubled token, every second
+            alone = np.concatenate([[True], np.diff(hit) > 1])
+            run = np.maximum.accumulate(np.where(alone, np.arange(len(hit)), 0))
+            hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
+            ids[hit] = self._made[rank[hit]]
+            keep = np.ones(len(of), bool)
+            keep[hit + 1] = False
+            of, ids, rank = of[keep], ids[keep], rank[keep]
+            here = hit - np.arange(len(hit))
+            rank[here] = at(here)
+            before = here[here > 0] - 1
+            rank[before] = at(before)
+        of, ids = (np.concatenate([d[i] for d in done]) if done else np.zeros(0, np.int32) for i in (0, 1))
+        flat = ids[np.argsort(of, kind="stable")].astype("<u4").tobytes()
+        cut = np.concatenate([[0], np.cumsum(np.bincount(piece_of[of - 1], minlength=len(size)))]) * 4
+        return [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+    def _learn(self, words: set) -> dict:
+        """The cache, with every word of ``words``.  Two generations: what is
+        missing comes from the older one or is encoded; a full younger one
+        becomes the older between two calls."""
+        if self._held > CACHE:
+            self._known, self._older, self._held = {}, self._known, 0
+        known, older = self._known, self._older
+
+        def keep(word, ids: bytes) -> None:
+            known[word] = ids
+            self._held += len(word) + len(ids) + ENTRY
+
+        pieces: dict[str, list[str]] = {}
+        todo: set[str] = set()
+        for w in words:
+            if w in known:
+                continue
+            if isinstance(w, int):
+                known[w] = struct.pack("<I", w)
+            elif (ids := older.get(w)) is not None:
+                keep(w, ids)
+            elif w.isalpha():  # letters alone are one pre-token
+                todo.add(w)
+            else:
+                pieces[w] = ps = [w[:-1], w[-1]] if w[-1:] in (".", ",") and w[:-1].isalpha() else _PIECES(w)
+                todo.update(ps)
+        new = []
+        for p in todo:
+            if p not in known:
+                if (ids := older.get(p)) is not None:
+                    keep(p, ids)
+                else:
+                    new.append(p)
+        for p, ids in zip(new, self._merged(new) if new else (), strict=True):
+            keep(p, ids)
+        for w, ps in pieces.items():
+            if w not in known:
+                keep(w, b"".join([known[p] for p in ps]))
+        return known
+
+    def _words(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         # str.split also cuts at these four controls, which are no white space here
-        words = text.split() if not any(c in text for c in "\x1c\x1d\x1e\x1f") else _WHITE.split(text)
-        return b"".join(map(self._known.__getitem__, words))
+        return text.split() if not any(c in text for c in "\x1c\x1d\x1e\x1f") else _WHITE.split(text)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers.
+        What the cache lacks is encoded for all texts together."""
+        split: list[list] = []
+        for t in texts:
+            if self._special is None or not any(s in t for s in self.special):
+                split.append(self._words(t))
+            else:  # special tokens stand as their ids
+                split.append([w for x in self._special.split(t) for w in ([self.special[x]] if x in self.special else self._words(x))])
+        known = self._learn({w for words in split for w in words})
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        if self._special is None or not any(s in text for s in self.special):
-            return self._plain(text)
-        return b"".join(np.array([self.special[x]], "<u4").tobytes() if x in self.special else self._plain(x)
-                        for x in self._special.split(text))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; without a decoder in the file, tokens are joined
@@ -160,8 +270,8 @@ def encode_column(docs: DataFrame, path: str, keep: list[str], text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(path)
-        for rows, texts in text_chunks(batches, text):
-            ids = [enc.encode(t) for t in texts]
+        for rows, texts in text_chunks(batches, text, SLICE):
+            ids = enc.encode_all(texts)
             yield pa.RecordBatch.from_arrays(
                 [*(rows.column(c) for c in keep), pa.array(ids, pa.binary()),
                  pa.array([enc.decode(x) for x in ids], pa.string())], [*keep, "ids", "decoded"])
@@ -179,8 +289,8 @@ def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(path)
-        for rows, texts in text_chunks(batches, text):
-            ids = [enc.encode(t) for t in texts]
+        for rows, texts in text_chunks(batches, text, SLICE):
+            ids = enc.encode_all(texts)
             sha = lambda x: hashlib.sha256(x).hexdigest()
             yield pa.RecordBatch.from_arrays(
                 [rows.column(key), pa.array([len(x) // 4 for x in ids], pa.int64()),

@@ -25,14 +25,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
     """``df`` written as a table in the shared folder and read back.
 
     A lost executor then costs a reread, never a replay of the plan; row
     keys made by ``monotonically_increasing_id`` are fixed by it.
+    ``row_group``: bytes that a writing task gathers before it writes.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    out = df.write if row_group is None else df.write.option("parquet.block.size", row_group)
+    out.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -36,8 +36,8 @@ from emolens.llm.common import free_name, text_chunks, written
 SEQUENCE = 4096
 END = 2
 DIMS, BITS, SEED = 4, 8, 20_240
-#: Rows of ids handled at once inside a task.
-ROWS = 1000
+#: Rows of ids handled at once inside a task, and bytes of ids gathered by its writer.
+ROWS, ROW_GROUP = 1000, 16_000_000
 
 
 @lru_cache(maxsize=4)
@@ -106,8 +106,8 @@ def tokenised(docs: DataFrame, path: str, keep: list[str], end: int | None = END
         enc = bpe.load(path)
         kind = "<u2" if max(enc.tokens) < 1 << 16 else "<u4"
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        for rows, texts in text_chunks(batches, text):
-            packed = [enc.encode(t) + tail for t in texts]
+        for rows, texts in text_chunks(batches, text, bpe.SLICE):
+            packed = [x + tail for x in enc.encode_all(texts)]
             sizes = np.array([len(p) // 4 for p in packed], np.int64)
             flat = np.frombuffer(b"".join(packed), "<u4")
             starts = np.cumsum(sizes) - sizes
@@ -144,16 +144,22 @@ def starts_along(rows: DataFrame, size: str, order: list[str], start: str = "sta
     return fixed.join(F.broadcast(offsets), part).withColumn(start, running + F.col(at)).drop(part, at)
 
 
+def checksum(ids: bytes, length: int) -> int:
+    """The CRC-32 of packed ids as unsigned 32-bit little-endian integers."""
+    return zlib.crc32(np.frombuffer(ids, f"<u{len(ids) // length}").astype("<u4").tobytes())
+
+
 def pack(docs: DataFrame, path: str, length: int = SEQUENCE, end: int | None = END,
-         key: str = "doc_id", text: str = "text") -> DataFrame:
+         key: str = "doc_id", text: str = "text", checksums: bool = False) -> DataFrame:
     """One row per piece: key, ``start``, ``length``, ``piece_ids`` (binary,
-    packed), ``doc_tokens``, ``sequence_id``, ``offset``."""
+    packed), ``doc_tokens``, ``sequence_id``, ``offset``; with ``checksums``
+    the task that cuts a piece gives ``ids_crc32`` in place of its ids."""
     row, tie = free_name([key], "row_key"), free_name([key], "tie")
-    table = written(tokenised(docs, path, [key], end, text).withColumn(row, F.monotonically_increasing_id()), "ids")
+    table = written(tokenised(docs, path, [key], end, text).withColumn(row, F.monotonically_increasing_id()), "ids", ROW_GROUP)
     narrow = table.select(row, "n_ids", "place").withColumn(tie, F.xxhash64(row))
     placed = starts_along(narrow, "n_ids", ["place", tie, row]).select(row, "start_at")
     schema = StructType([table.schema[key]] + [StructField(n, LongType(), False) for n in (
-        "start", "length")] + [StructField("piece_ids", BinaryType(), False)] + [
+        "start", "length")] + [StructField("ids_crc32", LongType(), False) if checksums else StructField("piece_ids", BinaryType(), False)] + [
         StructField(n, LongType(), False) for n in ("doc_tokens", "sequence_id", "offset")])
     joined = table.select(key, row, "ids", "n_ids").join(placed, row).select(key, "ids", "n_ids", "start_at")
 
@@ -167,7 +173,10 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE, end: int | None = E
                     seq, off = divmod(at + begin, length)
                     size = min(n - begin, length - off)
                     which.append(i)
-                    for name, v in zip(schema.names[1:], (begin, size, ids[i][begin * width:(begin + size) * width], n, seq, off), strict=True):
+                    piece = ids[i][begin * width:(begin + size) * width]
+                    if checksums:
+                        piece = checksum(piece, size)
+                    for name, v in zip(schema.names[1:], (begin, size, piece, n, seq, off), strict=True):
                         cols[name].append(v)
                     begin += size
             if which:
@@ -178,6 +187,7 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE, end: int | None = E
     return joined.mapInArrow(run, schema)
 
 
+
 def piece_checksums(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
     """Pieces with the CRC-32 of their ids (unsigned 32-bit little-endian) in
     place of the ids."""
@@ -186,9 +196,7 @@ def piece_checksums(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x.slice(a, ROWS) for x in batches for a in range(0, x.num_rows, ROWS)):
-            crc = []
-            for n, x in zip(b.column("length").to_pylist(), b.column("piece_ids").to_pylist(), strict=True):
-                crc.append(zlib.crc32(np.frombuffer(x, f"<u{len(x) // n}").astype("<u4").tobytes()))
+            crc = [checksum(x, n) for n, x in zip(b.column("length").to_pylist(), b.column("piece_ids").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(crc, pa.int64())], schema.names)
 
     return pieces.mapInArrow(run, schema)

@@ -64,7 +64,7 @@ VOCABULARY = "word_bpe_49k.json"
 
 @register("op1_pack_sequences")
 def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.piece_checksums(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), checksums=True)
 
 
 @register("op6_bpe_round_trip")

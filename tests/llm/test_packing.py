@@ -49,6 +49,13 @@ def test_pieces_partition_every_document(spark):
     assert sorted(by) == list(range(len(by)))
 
 
+def test_checksums_of_the_cutting_task(spark):
+    rows = lambda df: sorted((r.doc_id or 0, r.start, r.sequence_id, r.offset, r.length, r.doc_tokens, r.ids_crc32) for r in df.collect())
+    docs = awkward(spark).where("doc_id <> 16")
+    later = packing.piece_checksums(packing.pack(docs, PATH, length=64))
+    assert rows(packing.pack(docs, PATH, length=64, checksums=True)) == rows(later)
+
+
 def test_neighbours_share_sequences(spark):
     rows = [(i, ("alpha beta gamma " if i % 2 else "uno dos tres ") * 20, "", "", 0) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
