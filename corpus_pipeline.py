@@ -54,7 +54,7 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.piece_checksums(packing.pack(docs, public_tokenizers.path(VOCABULARY)))
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY), checksums=True)
 
 
 STAGES = [
