@@ -13,6 +13,8 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emolens.operators.quantiles import exact_quantiles, grouped_counts, value_counts_long
+
 QUARTILES = [0.25, 0.5, 0.75]
 
 
@@ -36,7 +38,9 @@ def group_mean_nunique(df: DataFrame, by: str, mean_of: str, nunique_of: str) ->
 
 def group_median_order(df: DataFrame, by: str, value: str) -> DataFrame:
     """Categories with their median, ranked by it (the box-plot order)."""
-    med = df.groupBy(by).agg(F.median(value).alias("median_value"))
+    mid = exact_quantiles(grouped_counts(df, [by], value), [by], [0.5]).select(F.col(by).alias("_by"), "q")
+    groups = df.select(by).distinct()  # a group without a value has a null median
+    med = groups.join(mid, F.col(by).eqNullSafe(F.col("_by")), "left").select(by, F.col("q")[0].alias("median_value"))
     # rank on the value rounded to 9 decimals so float noise cannot split ties
     w = Window.orderBy(F.round("median_value", 9), by)
     return med.withColumn("position", F.row_number().over(w).cast("bigint"))
@@ -54,22 +58,18 @@ def crosstab(df: DataFrame, row: str, col: str, values=None) -> DataFrame:
 def describe_numeric(df: DataFrame, columns) -> DataFrame:
     """count, mean, std (ddof=1), min, quartiles, max per numeric column.
 
-    Long form, one row per feature; the unpivot lets every feature be
-    aggregated by its own task.  Quartiles are exact (linear interpolation).
+    Long form, one row per feature.  Quartiles are exact (linear
+    interpolation), from value counts; a column is never gathered in one task.
     """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "feature", "value")
-    q = F.percentile("value", QUARTILES)
-    return long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        q.alias("_q"),
-        F.max("value").alias("max"),
-    ).select("feature", "count", "mean", "std", "min",
-             F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
-             F.col("_q")[2].alias("q75"), "max")
+    moments = long.groupBy("feature").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    q = exact_quantiles(value_counts_long(df, columns), ["feature"], QUARTILES)
+    return moments.join(q, "feature", "left").select(
+        "feature", "count", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
+        F.col("q")[2].alias("q75"), "max")
 
 
 def pearson(x: str, y: str):
@@ -132,31 +132,22 @@ def discrete_histogram(df: DataFrame, column: str) -> DataFrame:
 def box_stats(df: DataFrame, value: str, by: str | None = None, factor: float = 1.5) -> DataFrame:
     """Box-plot numbers: quartiles, whiskers (furthest point within
     ``factor`` IQR of the box), outlier count — overall or per category."""
-    keys = [by] if by else []
-    q = df.groupBy(*keys).agg(F.percentile(value, QUARTILES).alias("_q"))
-    q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
-    q = q.withColumns({"lower_fence": F.col("q1") - factor * (F.col("q3") - F.col("q1")),
-                       "upper_fence": F.col("q3") + factor * (F.col("q3") - F.col("q1"))})
-    if by:
-        j = df.select(by, value).join(q, by)
-    else:
-        qs = q.select(F.struct(*q.columns)).scalar()
-        j = df.select(value).withColumns({"lower_fence": qs["lower_fence"],
-                                          "upper_fence": qs["upper_fence"]})
-    v = F.col(value)
+    if by is None:
+        return box_stats(df.withColumn("_whole", F.lit(0)), value, "_whole", factor).drop("_whole")
+    counts = grouped_counts(df, [by], value)
+    spread = factor * (F.col("q")[2] - F.col("q")[0])
+    q = exact_quantiles(counts, [by], QUARTILES).select(
+        F.col(by).alias("_by"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+        (F.col("q")[0] - spread).alias("lower_fence"), (F.col("q")[2] + spread).alias("upper_fence"))
+    box = ["q1", "median", "q3", "lower_fence", "upper_fence"]
+    # whiskers and outliers need no second scan: the counts hold every value
+    j = counts.join(q, F.col(by).eqNullSafe(F.col("_by")), "left")
+    v, n = F.col("value"), F.col("n")
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    whisk = j.groupBy(*keys).agg(
-        F.min(F.when(inside, v)).alias("whisker_low"),
-        F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if(v.isNotNull() & ~inside).alias("outliers"),
-        F.count(v).alias("count"),
-    )
-    if by:
-        return q.join(whisk, by)
-    return whisk.select(*[qs[c].alias(c) for c in
-                          ("q1", "median", "q3", "lower_fence", "upper_fence")],
-                        "whisker_low", "whisker_high", "outliers", "count")
+    return j.groupBy(by, *box).agg(
+        F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(v.isNotNull() & ~inside, n)), F.lit(0)).alias("outliers"),
+        F.coalesce(F.sum(F.when(v.isNotNull(), n)), F.lit(0)).alias("count"))
 
 
 def profile_counts(df: DataFrame, key: str, label: str) -> DataFrame:

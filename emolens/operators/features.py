@@ -21,22 +21,20 @@ from pyspark.sql import functions as F
 
 from emolens.functions.text import MISSING_TEXT, ngram_range, tokenize
 from emolens.operators.describe import NUMERIC_FEATURES
+from emolens.operators.quantiles import exact_mode, exact_quantiles, value_counts_long
+from emolens.session import cut_lineage
 
 TEXT_BLOCK, GENRE_BLOCK, NUMERIC_BLOCK = "0:", "1:", "2:"
 
 
 # ----------------------------------------------------------- imputation
 
-def median_values(train: DataFrame, columns) -> DataFrame:
-    """One row of exact training medians (NULLs ignored)."""
-    return train.agg(*[F.median(c).alias(c) for c in columns])
-
-
 def fit_medians(train: DataFrame, columns) -> dict:
     """Fitted parameters are one small row: bring it to the driver once, the
     way a Spark ML ``fit`` does, so transforms use literals (no nested
-    subqueries re-running the training plan)."""
-    return median_values(train, columns).first().asDict()
+    subqueries re-running the training plan).  NULLs are ignored."""
+    rows = exact_quantiles(value_counts_long(train, columns), ["feature"], [0.5]).collect()  # one row per column
+    return {c: None for c in columns} | {r["feature"]: r["q"][0] for r in rows}
 
 
 def impute_median(df: DataFrame, columns, train: DataFrame) -> DataFrame:
@@ -46,8 +44,7 @@ def impute_median(df: DataFrame, columns, train: DataFrame) -> DataFrame:
 
 def mode_value(train: DataFrame, column: str):
     """Most frequent non-null value; ties go to the smallest value."""
-    return F.lit(train.where(F.col(column).isNotNull()).select(
-        F.mode(column, deterministic=True)).first()[0])
+    return F.lit(exact_mode(train, column))
 
 
 def impute_mode(df: DataFrame, column: str, train: DataFrame) -> DataFrame:
@@ -60,34 +57,34 @@ def impute_constant(df: DataFrame, column: str, value: str = MISSING_TEXT) -> Da
 
 # ----------------------------------------------------- outliers, scaling
 
+def _fences(counts: DataFrame, factor: float) -> DataFrame:
+    """(feature, q1, q3, lower_bound, upper_bound) from (feature, value, n)."""
+    q = exact_quantiles(counts, ["feature"], [0.25, 0.75]).select(
+        "feature", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    spread = factor * (F.col("q3") - F.col("q1"))
+    return q.withColumns({"lower_bound": F.col("q1") - spread, "upper_bound": F.col("q3") + spread})
+
+
 def iqr_bounds(df: DataFrame, columns, factor: float = 1.5) -> DataFrame:
-    """Per feature: q1, q3, lower/upper fence and outlier count (long form)."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "feature", "value")
-    q = long.groupBy("feature").agg(F.percentile("value", [0.25, 0.75]).alias("_q"))
-    q = q.select("feature", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
-    q = q.withColumns({"lower_bound": F.col("q1") - factor * (F.col("q3") - F.col("q1")),
-                       "upper_bound": F.col("q3") + factor * (F.col("q3") - F.col("q1"))})
+    """Per feature: q1, q3, lower/upper fence and outlier count (long form).
+    One scan counts the values; quartiles and outliers come from the counts."""
+    counts = value_counts_long(df, columns)
+    q = _fences(counts, factor)
     # q has one row per feature: a proven size bound, so it is broadcast
-    j = long.join(F.broadcast(q), "feature")
-    out = j.groupBy("feature").agg(F.count_if(
-        (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
-        .alias("outlier_count"))
-    return q.join(out, "feature")
+    j = counts.join(F.broadcast(q), "feature")
+    out = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
+    return j.groupBy("feature", "q1", "q3", "lower_bound", "upper_bound").agg(
+        F.coalesce(F.sum(F.when(out, F.col("n"))), F.lit(0)).alias("outlier_count"))
 
 
 def fit_iqr_clipper(train: DataFrame, columns, factor: float = 1.5):
-    """Learned bounds as a struct scalar (one field pair per column)."""
-    aggs = []
-    for c in columns:
-        q = F.percentile(F.col(c).cast("double"), [0.25, 0.75])
-        aggs.append(q.alias(c))
-    row = train.agg(*aggs).first()
+    """Learned bounds, two literals per column."""
+    rows = {r["feature"]: r for r in _fences(value_counts_long(train, columns), factor).collect()}  # one row per column
     out = {}
     for c in columns:
-        q1, q3 = row[c]
-        out[f"{c}__lo"] = F.lit(q1 - factor * (q3 - q1))
-        out[f"{c}__hi"] = F.lit(q3 + factor * (q3 - q1))
+        r = rows.get(c)
+        out[f"{c}__lo"] = F.lit(r and r["lower_bound"]).cast("double")
+        out[f"{c}__hi"] = F.lit(r and r["upper_bound"]).cast("double")
     return out
 
 
@@ -158,32 +155,44 @@ def one_hot_long(df: DataFrame, doc: str, column: str, train: DataFrame) -> Data
                     F.lit(1.0).alias("value")))
 
 
-def numeric_long(df: DataFrame, doc: str, columns) -> DataFrame:
-    """Numeric block in long form, zero values omitted."""
-    names = [f"{NUMERIC_BLOCK}{i}:{c}" for i, c in enumerate(columns)]
-    long = df.select(doc, *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)]
-                     ).unpivot([doc], names, "feature", "value")
-    return long.where(F.col("value").isNotNull() & (F.col("value") != 0.0))
+def fit_numbers(train: DataFrame, columns=NUMERIC_FEATURES, factor: float = 1.5) -> DataFrame:
+    """One row per column: (feature, position, median, lower, upper, lo, hi).
+
+    Median for gaps, fences of the filled column, and the range of the
+    clipped one.  Everything comes from the value counts of one scan: filling
+    adds the gaps to the median's count, and clipping keeps the order, so the
+    clipped range is the clipped minimum and maximum."""
+    counts = value_counts_long(train, columns)
+    med = exact_quantiles(counts, ["feature"], [0.5]).select("feature", F.col("q")[0].alias("median"))
+    # one row per column: broadcast is size-bounded
+    filled = counts.join(F.broadcast(med), "feature", "left").groupBy(
+        "feature", "median", F.coalesce("value", "median").alias("value")).agg(F.sum("n").alias("n"))
+    ends = filled.groupBy("feature", "median").agg(F.min("value").alias("least"), F.max("value").alias("most"))
+    table = ends.join(F.broadcast(_fences(filled, factor)), "feature", "left")
+    clip = lambda x: F.greatest(F.least(F.col(x), F.col("upper_bound")), F.col("lower_bound"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return table.select("feature", (F.array_position(names, F.col("feature")) - 1).cast("int").alias("position"), "median",
+                        F.col("lower_bound").alias("lower"), F.col("upper_bound").alias("upper"),
+                        clip("least").alias("lo"), clip("most").alias("hi"))
+
+
+def scaled_numbers(df: DataFrame, doc: str, columns, table: DataFrame) -> DataFrame:
+    """Numeric block in long form: gaps filled, clipped, scaled by the range
+    (a zero range counts as 1); zero values are omitted."""
+    long = df.select(doc, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot([doc], list(columns), "feature", "value")
+    j = long.join(F.broadcast(table), "feature")  # one row per column
+    x = F.greatest(F.least(F.coalesce("value", "median"), F.col("upper")), F.col("lower"))
+    size = F.when(F.col("hi") == F.col("lo"), F.lit(1.0)).otherwise(F.col("hi") - F.col("lo"))
+    name = F.concat(F.lit(NUMERIC_BLOCK), F.col("position").cast("string"), F.lit(":"), F.col("feature"))
+    scaled = j.select(doc, name.alias("feature"), ((x - F.col("lo")) / size).alias("value"))
+    return scaled.where(F.col("value").isNotNull() & (F.col("value") != 0.0))
 
 
 def numeric_block(train: DataFrame, other: DataFrame, doc: str, columns=NUMERIC_FEATURES,
                   factor: float = 1.5):
     """median impute -> IQR clip -> min-max, fitted on ``train``."""
-    med = fit_medians(train, columns)
-
-    def imp(d):
-        return d.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in columns})
-
-    tr = imp(train)
-    bounds = fit_iqr_clipper(tr, columns, factor)
-    tr = iqr_clip(tr, columns, bounds)
-    stats = fit_min_max(tr, columns)
-
-    def apply(d):
-        return numeric_long(min_max_scale(iqr_clip(imp(d), columns, bounds), columns, stats),
-                            doc, columns)
-
-    return apply(train), apply(other)
+    table = cut_lineage(fit_numbers(train, columns, factor))
+    return scaled_numbers(train, doc, columns, table), scaled_numbers(other, doc, columns, table)
 
 
 # --------------------------------------------------------------- tf-idf
@@ -256,9 +265,14 @@ def chi2_scores(features: DataFrame, labels: DataFrame, doc: str, label: str) ->
     prior = labels.groupBy(label).agg((F.count(F.lit(1)) / n_rows).alias("p"))
     obs = (features.join(labels.select(doc, label), doc)
            .groupBy("feature", label).agg(F.sum("value").alias("o")))
-    tot = obs.groupBy("feature").agg(F.sum("o").alias("t"))
-    # prior has one row per class: broadcast is size-bounded
-    j = obs.join(F.broadcast(prior), label).join(tot, "feature")
+    return chi2_from_sums(obs, prior, label)
+
+
+def chi2_from_sums(sums: DataFrame, priors: DataFrame, label: str) -> DataFrame:
+    """Chi² from the (feature, class) sums ``o`` and the class shares ``p``."""
+    tot = sums.groupBy("feature").agg(F.sum("o").alias("t"))
+    # one row per class: broadcast is size-bounded
+    j = sums.join(F.broadcast(priors), label).join(tot, "feature")
     return (j.groupBy("feature").agg(
         (F.sum(F.col("o") * F.col("o") / (F.col("p") * F.col("t"))) - F.first("t")).alias("chi2"))
         .where(F.col("chi2").isNotNull()))

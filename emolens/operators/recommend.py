@@ -103,7 +103,7 @@ def _answer(keys: DataFrame, catalogue: DataFrame, use_genre: bool) -> DataFrame
     (distinct request keys), so AQE broadcasts it at runtime and the
     catalogue is never shuffled by label; if it is not broadcast, AQE's
     skew-join splitting divides the hot label partitions."""
-    cat = catalogue.withColumn("_label", F.lower("predicted_emotion"))
+    cat = catalogue.select(*OUTPUT_COLUMNS, "Description", F.lower("predicted_emotion").alias("_label"))
     cand = keys.join(cat, "_label")
     cond = F.col("mean_rating") >= F.col("minimum_rating")
     if use_genre:
@@ -182,3 +182,11 @@ def feature_row(requests: DataFrame, text: str = "description", genre: str = "pr
         F.lit(0.0).alias("rating_range"), F.log1p(rc).alias("log_review_count"),
         F.log1p(rc).alias("log_unique_review_count"))
     return model_input, rejects
+
+
+def classified_requests(requests: DataFrame, classify, doc: str, label: str = "predicted_label", **names) -> DataFrame:
+    """Requests with the label that ``classify`` (rows, output column) gives
+    their text; a request with a blank text cannot be answered and goes."""
+    model_input, _ = feature_row(requests, **names)
+    rows = model_input.withColumn(doc, F.concat(F.lit("r:"), F.col("request_id").cast("string")))
+    return requests.join(classify(rows, label).select("request_id", label), "request_id")

@@ -60,5 +60,5 @@ def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     """Import every query module so that its ``@register`` calls run."""
-    from emolens.plans import (q_eval, q_features, q_io, q_models, q_prep,  # noqa: F401
+    from emolens.plans import (q_eval, q_features, q_io, q_models, q_pipeline, q_prep,  # noqa: F401
                                q_recommend, q_stats, q_terms)

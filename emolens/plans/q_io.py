@@ -1,4 +1,4 @@
-"""Queries for sources, sinks and the request stream.
+"""Queries for sources and sinks.
 
 Each writes data derived from the test tables into a fresh folder under the
 session's checkpoint directory (the shared folder on a cluster), reads it
@@ -7,7 +7,6 @@ back through the matching reader and returns what was read.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 from emolens.plans.catalog import register
 from emolens.plans.q_eval import _metrics_long_sql, metrics_long
 from emolens.plans.q_prep import DESCRIPTION_SELECT, _desc, _with  # noqa: F401
-from emolens.plans.q_recommend import _batch_sql
 from emolens.plans.sqlparts import list_literal as sql_list_literal
 from emolens.plans.sqlparts import r6
 from emolens.session import ensure_checkpoint_dir
@@ -85,31 +83,3 @@ def q_write_results(spark, sf):
     path = scratch(spark, "report-parquet")
     io.write_results(classification_report(te, by=("model",)), path, fmt="parquet")
     return spark.read.parquet(path)
-
-
-@register("recommend_stream", _batch_sql(True))
-def q_stream(spark, sf):
-    """Benchmark texts as a file stream of requests, answered per
-    micro-batch against the materialised catalogue; returns the sink."""
-    from emolens.plans.q_recommend import LABELS, served_catalogue
-    from emolens.streaming.requests import serve_requests
-
-    def to_requests(b):
-        n = F.length("text")
-        return b.select(
-            F.col("item_id").alias("request_id"),
-            F.when(n % 3 == 0, F.lit(None).cast("string")).when(n % 3 == 1, F.lit("Red"))
-             .otherwise(F.lit(" small ")).alias("preferred_genre"),
-            F.when(n % 2 == 0, F.lit(0.0)).otherwise(F.lit(5.0)).alias("minimum_rating"),
-            F.lit(5).alias("n"),
-            F.element_at(F.array(*[F.lit(x) for x in LABELS]), (n % 6 + 1).cast("int"))
-             .alias("predicted_label"))
-
-    schema = spark.read.parquet(os.path.join(sf, "benchmark.parquet")).schema
-    sink, ckpt = scratch(spark, "stream-sink"), scratch(spark, "stream-ckpt")
-    q = serve_requests(spark, sf, schema, to_requests, served_catalogue(spark, sf), sink, ckpt,
-                       glob="benchmark.parquet")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(sink).drop("batch_id").withColumn("position", F.col("position").cast("int"))

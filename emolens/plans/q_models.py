@@ -8,8 +8,6 @@ with their full iteration and tree counts.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from emolens.ml.models import Candidate, fit_predict
@@ -19,7 +17,7 @@ from emolens.operators import evaluate as E
 from emolens.operators import features as X
 from emolens.plans.catalog import register
 from emolens.plans.q_features import DOC, LABEL, train_test
-from emolens.session import cut_lineage, ensure_checkpoint_dir, folder_stamp
+from emolens.session import cut_lineage, folder_stamp
 
 SVD_K = 100
 
@@ -131,7 +129,7 @@ def q_rf(spark, sf):
     return _pred_out(p)
 
 
-@register("predict")
+@register("predict_logistic")
 def q_predict(spark, sf):
     """Logistic regression labels of every training and test document."""
     _, p = _sparse_predictions(spark, sf, Candidate("logistic", {"C": 1.0, "max_iter": 3000}))
@@ -196,18 +194,3 @@ def q_grid(spark, sf):
              for C in (0.1, 1.0)]
     fs = grid_search(tr, DOC, LABEL, cands, folds=5)
     return E.model_comparison(fs, "model")
-
-
-@register("save_load_model")
-def q_save_load(spark, sf):
-    """Persist the fitted model in the checkpoint folder, reload it and
-    predict again: both predictions per test row, side by side."""
-    model, preds = _sparse_predictions(spark, sf, Candidate("logistic", {"C": 1.0, "max_iter": 3000}))
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/models/lr-{uuid.uuid4().hex[:12]}"
-    model.write().overwrite().save(path)
-    from pyspark.ml.classification import LogisticRegressionModel
-    again = LogisticRegressionModel.load(path)
-    t = preds["test"].drop("prediction", "rawPrediction", "probability", "predicted")
-    p2 = again.transform(t).select(DOC, F.col("prediction").alias("reloaded"))
-    return preds["test"].select(DOC, "prediction").join(p2, DOC)

@@ -1,10 +1,11 @@
 """Queries for catalogue scoring and recommendation (SURVEY §2.4 scores,
 §2.6 dedup/top-n, §2.11 recommend*).
 
-Catalogue: one row per part from the line-item reviews (title = part name,
-label = part type as the predicted label, genres = the words of the name).
-Requests: one per ``benchmark`` item (its text is the request text); the
-genre, minimum rating and predicted label follow from the text length.
+The workload with given labels.  Catalogue: one row per part from the
+line-item reviews (title = part name, label = part type, genres = the words of
+the name).  Requests: one per ``benchmark`` item; the genre, minimum rating
+and label follow from the text length.  Catalogue and requests whose labels a
+fitted pipeline predicts are in `q_pipeline`.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ def q_weighted(spark, sf):
     return catalogue(spark, sf).select("Description", "recommendation_score")
 
 
-@register("score_catalogue", CAT_SQL + f""" SELECT Description, movie_name, predicted_emotion, genres_text,
+@register("score_catalogue_big", CAT_SQL + f""" SELECT Description, movie_name, predicted_emotion, genres_text,
  {r6('mean_rating')} AS mean_rating, review_count, {r6('log_review_count')} AS log_review_count,
  {r6('rating_score')} AS rating_score, {r6('popularity_score')} AS popularity_score,
  {r6('recommendation_score')} AS recommendation_score FROM cat""")
@@ -110,7 +111,8 @@ def q_recommend(spark, sf):
     return R.recommend(catalogue(spark, sf), "Promo", "Red", 5.0, 10)
 
 
-def _batch_sql(fallback: bool) -> str:
+def batch_sql(fallback: bool, base: str) -> str:
+    """Answers of batch requests; ``base`` has the tables ``cat`` and ``rk``."""
     ans = """
  cand AS (SELECT k.*, c.* FROM {keys} k JOIN cat c ON lower(c.predicted_emotion) = k.lbl
    WHERE c.mean_rating >= k.minimum_rating {genre}),
@@ -119,7 +121,7 @@ def _batch_sql(fallback: bool) -> str:
  top AS (SELECT *, row_number() OVER (PARTITION BY lbl, g, minimum_rating, n
    ORDER BY round(recommendation_score, 9) DESC, round(mean_rating, 9) DESC, movie_name) AS position FROM best
    QUALIFY position <= n)"""
-    sql = CAT_SQL + REQ_SQL + ", keys AS (SELECT DISTINCT lbl, g, minimum_rating, n FROM rk)," + ans.format(
+    sql = base + ", keys AS (SELECT DISTINCT lbl, g, minimum_rating, n FROM rk)," + ans.format(
         keys="keys", genre="AND (k.g = '' OR list_contains(string_split(c.genres_text, ' '), k.g))") + """,
  hits AS (SELECT r.request_id, t.*, false AS fallback FROM rk r JOIN top t USING (lbl, g, minimum_rating, n))"""
     if not fallback:
@@ -142,14 +144,14 @@ def served_catalogue(spark, sf):
     return cut_lineage(catalogue(spark, sf))
 
 
-@register("recommend_from_text", _batch_sql(False))
+@register("recommend_given_label", batch_sql(False, CAT_SQL + REQ_SQL))
 def q_rec_text(spark, sf):
     """All benchmark requests answered in one job (per distinct key)."""
     return R.recommend_batch(requests(spark, sf), served_catalogue(spark, sf), fallback=False).withColumn(
         "position", F.col("position").cast("int"))
 
 
-@register("recommend_fallback", _batch_sql(True))
+@register("recommend_given_label_fallback", batch_sql(True, CAT_SQL + REQ_SQL))
 def q_rec_fallback(spark, sf):
     """Same, and requests without any hit are answered without the genre."""
     return R.recommend_batch(requests(spark, sf), served_catalogue(spark, sf), fallback=True).withColumn(

@@ -10,7 +10,9 @@ from emolens.plans.q_terms import bigrams_sql, tokens_sql
 
 
 def split_ctes(kind: str = "documents", seed: int = 42,
-               test_size: float = 0.2, folds: int = 5) -> str:
+               test_size: float = 0.2, folds: int = 5, scored: str = "SELECT * FROM split WHERE split = 'test'") -> str:
+    """Split and folds; ``scored`` gives the rows that a fitted model is
+    applied to (the test rows, or others with the same columns)."""
     return descriptions_ctes(kind) + f""",
 modelling AS (SELECT md5(Description) AS doc, * FROM descriptions
   QUALIFY count(*) OVER (PARTITION BY emotion) >= {folds}),
@@ -28,7 +30,7 @@ split AS (SELECT r.*, CASE WHEN rk <= q.test_quota THEN 'test' ELSE 'train' END
    CASE WHEN rk <= q.test_quota THEN NULL ELSE CAST((rk - q.test_quota - 1) % {folds} AS INTEGER) END AS fold
    FROM ranked r JOIN quota q USING (emotion)),
 train AS (SELECT * FROM split WHERE split = 'train'),
-test AS (SELECT * FROM split WHERE split = 'test')"""
+test AS ({scored})"""
 
 
 def _grams(ngram) -> str:
@@ -140,5 +142,5 @@ jll AS (SELECT t.doc, t.Description, t.emotion AS actual, ct.emotion AS cls,
    ct.prior + coalesce(sx.s, 0) * ct.a + coalesce(cx.c, 0) AS jll
    FROM test t CROSS JOIN ct LEFT JOIN sx ON sx.doc = t.doc
    LEFT JOIN cx ON cx.doc = t.doc AND cx.emotion = ct.emotion),
-pred AS (SELECT Description, actual, cls AS predicted FROM jll
+pred AS (SELECT doc, Description, actual, cls AS predicted FROM jll
    QUALIFY row_number() OVER (PARTITION BY doc ORDER BY jll DESC, cls) = 1)"""
