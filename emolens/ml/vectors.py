@@ -1,29 +1,24 @@
 """Long-form features -> Spark ML vectors, and a truncated SVD.
 
-The feature index is the sorted list of selected features (bounded by k, so
-it is broadcast).  Each document's (index, value) pairs are collected (at
-most k per document) and turned into a ``SparseVector`` by one Arrow-batched
-helper call per document — the only Python on the model path.
-
-The SVD is fitted with ``RowMatrix.computeSVD`` (mllib) on training rows;
-projecting any row set is a plain join of the long-form features with the
-broadcast right-singular vectors (k x components) and a sum per document,
-then ``array_to_vector`` — no Python per row.
+The feature index is the sorted list of selected features (at most k).  Each
+document's (index, value) pairs are collected (at most k per document), the
+gaps between them filled with zeros, and the array turned into a vector that
+is kept sparse where that is smaller: all of it in the JVM, no Python per
+document.
+
+The SVD is fitted from the Gramian of the training vectors (one distributed
+aggregate of k x k numbers); projecting any row set is a join of the long-form
+features with the right singular vectors and a sum per document.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-@F.udf(returnType=VectorUDT(), useArrow=True)
-def _sparse(size, idx, val):
-    return SparseVector(int(size), list(idx or []), list(val or []))
-
-
 def feature_index(selected: DataFrame) -> DataFrame:
     """(feature, index) in assembled order (block prefix, then name)."""
     return selected.select("feature").withColumn(
@@ -34,10 +29,18 @@ def to_sparse(features: DataFrame, index: DataFrame, docs: DataFrame, doc: str,
               size: int, out: str = "features") -> DataFrame:
     """One vector per document of ``docs`` (documents without any selected
     feature get an empty vector rather than being dropped)."""
-    j = features.join(F.broadcast(index), "feature")
-    per_doc = j.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("_p"))
+    j = features.join(index, "feature")
+    pairs = F.array_sort(F.collect_list(F.struct("index", "value")))
+    per_doc = j.groupBy(doc).agg(pairs.alias("_p"))
     joined = docs.join(per_doc, doc, "left")
-    return joined.withColumn(out, _sparse(F.lit(size), F.col("_p.index"), F.col("_p.value"))).drop("_p")
+    p, zeros = F.col("_p"), lambda n: F.array_repeat(F.lit(0.0), n.cast("int"))
+    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get(p, i - 1)["index"])
+    filled = F.flatten(F.transform(p, lambda x, i: F.concat(zeros(x["index"] - before(i) - 1), F.array(x["value"]))))
+    tail = zeros(F.lit(size - 1) - F.get(p, F.size(p) - 1)["index"])
+    dense = F.coalesce(F.concat(filled, tail), zeros(F.lit(size)))
+    joined = joined.withColumn("_d", array_to_vector(dense)).drop("_p")
+    # the assembler keeps the smaller of the two forms
+    return VectorAssembler(inputCols=["_d"], outputCol=out).transform(joined).drop("_d")
 
 
 def svd_fit(train_vectors: DataFrame, k: int = 100, col: str = "features"):
@@ -49,10 +52,10 @@ def svd_fit(train_vectors: DataFrame, k: int = 100, col: str = "features"):
     eigendecomposition on the driver gives V and s = sqrt(eigenvalues) —
     the local-eigs route, instead of one Spark job per ARPACK iteration."""
     import numpy as np
-    from pyspark.mllib.linalg import Vectors as MLLibVectors
     from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
 
-    rows = train_vectors.select(col).rdd.map(lambda r: MLLibVectors.fromML(r[0]))
+    rows = MLUtils.convertVectorColumnsFromML(train_vectors.select(col), col)
     gram = RowMatrix(rows).computeGramianMatrix().toArray()
     n = gram.shape[0]
     if k >= n:
