@@ -185,7 +185,7 @@ def q_loss(spark, sf):
     return spark.createDataFrame([(i, float(x)) for i, x in enumerate(hist)], "iteration int, loss double")
 
 
-@register("grid_search")
+@register("grid_search_logistic")
 def q_grid(spark, sf):
     """Logistic regression, C in {0.1, 1} x 5 folds, features reused per
     fold; per-candidate mean/std of fold macro F1 and min-rank."""

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from emolens.ml.bayes_grid import BayesGrid, grid_search_bayes
 from emolens.ml.pipeline import NaiveBayes, PipelineModel, SparkModel, dense_pipeline, sparse_pipeline
 from emolens.operators import recommend as R
 from emolens.operators.describe import NUMERIC_FEATURES
@@ -21,7 +22,7 @@ from emolens.plans.catalog import register
 from emolens.plans.q_features import DOC, K_BEST, KEY, LABEL, split_table, train_test
 from emolens.plans.q_prep import _desc
 from emolens.plans.q_recommend import batch_sql
-from emolens.plans.sql_model import chi2_ctes, features_ctes, nb_ctes, split_ctes
+from emolens.plans.sql_model import chi2_ctes, features_ctes, grid_sql, nb_ctes, split_ctes
 from emolens.plans.sqlparts import r6
 from emolens.session import cut_lineage, ensure_checkpoint_dir, folder_stamp
 from emolens.sources.fixtures import table
@@ -112,6 +113,19 @@ def q_predict(spark, sf):
     return predicted_catalogue(spark, sf).select(KEY, F.col(LABEL).alias("actual"), F.col("predicted_emotion").alias("predicted"))
 
 
+# ---------------------------------------------------------------------- grid
+
+GRID = BayesGrid()
+_RANK = "CAST(rank() OVER (ORDER BY round(mean_test_score, 9) DESC) AS INTEGER) AS rank_test_score"
+
+
+@register("grid_search", grid_sql(GRID) + f""" SELECT candidate_id, alpha, fit_prior, ngram, k, {r6('mean_train_score')} AS mean_train_score,
+ {r6('mean_test_score')} AS mean_test_score, {r6('std_test_score')} AS std_test_score, {_RANK} FROM sc JOIN cand USING (candidate_id)""")
+def q_grid(spark, sf):
+    """All 48 Naive Bayes candidates x 5 folds."""
+    return grid_search_bayes(train_test(spark, sf)[0], DOC, LABEL, GRID)
+
+
 # ------------------------------------------------------------------- serving
 
 def predicted_catalogue(spark, sf):

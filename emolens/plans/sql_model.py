@@ -144,3 +144,73 @@ jll AS (SELECT t.doc, t.Description, t.emotion AS actual, ct.emotion AS cls,
    LEFT JOIN cx ON cx.doc = t.doc AND cx.emotion = ct.emotion),
 pred AS (SELECT doc, Description, actual, cls AS predicted FROM jll
    QUALIFY row_number() OVER (PARTITION BY doc ORDER BY jll DESC, cls) = 1)"""
+
+
+def grid_sql(grid, folds: int = 5, columns=NUMERIC_FEATURES, factor: float = 1.5) -> str:
+    """The Naive Bayes grid: every statistic grouped by ``held``, the fold
+    left out; one row per candidate with its parameters and scores."""
+    long = " UNION ALL ".join(f"SELECT doc, fold, {i} AS pos, '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM train"
+                              for i, c in enumerate(columns))
+    cands = ", ".join(f"({c['candidate_id']}, {c['alpha']}, {str(c['fit_prior']).lower()}, {c['ngram']}, {c['k']})" for c in grid.candidates())
+    values = lambda xs: ", ".join(f"({x})" for x in xs)
+    scaled = "greatest(least(coalesce(v, med), hi), lo)"
+    each = [(k, a, f"c{i}") for i, (k, a) in enumerate((k, a) for k in grid.ks for a in grid.alphas)]
+    wide = ", ".join(f"coalesce(sum(f.value * ln(1 + g.o / {a})) FILTER (WHERE g.position <= {k}), 0) AS {c}" for k, a, c in each)
+    pairs = " UNION ALL ".join(f"SELECT held, ngram, doc, cls, {k} AS k, {a} AS alpha, {c} AS c FROM cw" for k, a, c in each)
+    # read many times below
+    split = split_ctes(folds=folds).replace("\nsplit AS (", "\nsplit AS MATERIALIZED (")
+    return "WITH " + split + f""",
+fs AS (SELECT unnest(range({folds})) AS held), gs(ngram) AS (VALUES {values(grid.ngrams)}), ks(k) AS (VALUES {values(grid.ks)}),
+als(alpha) AS (VALUES {values(grid.alphas)}), cand(candidate_id, alpha, fit_prior, ngram, k) AS (VALUES {cands}),
+tk AS MATERIALIZED (SELECT doc, fold, {tokens_sql("coalesce(Description, 'missing_description')")} AS t FROM train),
+tf AS MATERIALIZED (SELECT doc, fold, term, count(*) AS tf FROM (
+  SELECT doc, fold, unnest({'list_concat(t, ' + bigrams_sql('t') + ')' if max(grid.ngrams) > 1 else 't'}) AS term FROM tk) GROUP BY ALL),
+nh AS (SELECT held, count(*) AS n FROM train JOIN fs ON fold <> held GROUP BY held),
+voc AS MATERIALIZED (SELECT held, term, ln((1.0 + n) / (1.0 + count(*))) + 1.0 AS idf FROM tf JOIN fs ON fold <> held JOIN nh USING (held)
+  GROUP BY held, term, n HAVING count(*) >= 2 AND count(*) <= 0.95 * n),
+w AS (SELECT held, ngram, doc, term, (1.0 + ln(tf)) * idf AS w FROM tf JOIN voc USING (term) JOIN gs ON ngram >= len(string_split(term, ' '))),
+tx AS (SELECT held, ngram, doc, '0:' || term AS feature, w / sqrt(sum(w * w) OVER (PARTITION BY held, ngram, doc)) AS value FROM w),
+seen AS (SELECT held, genres_text AS c, count(*) AS n FROM train JOIN fs ON fold <> held WHERE genres_text IS NOT NULL GROUP BY ALL),
+mo AS (SELECT held, c AS m FROM seen QUALIFY row_number() OVER (PARTITION BY held ORDER BY n DESC, c) = 1),
+oh AS (SELECT seen.held, doc, '1:' || seen.c AS feature, 1.0 AS value
+  FROM train CROSS JOIN mo JOIN seen ON seen.held = mo.held AND seen.c = coalesce(genres_text, m)),
+num AS ({long}),
+md AS (SELECT held, col, quantile_cont(v, 0.5) AS med FROM num JOIN fs ON fold <> held GROUP BY ALL),
+qs AS (SELECT held, col, med, quantile_cont(coalesce(v, med), 0.25) AS q1, quantile_cont(coalesce(v, med), 0.75) AS q3
+  FROM num JOIN md USING (col) WHERE fold <> held GROUP BY ALL),
+fe AS (SELECT held, col, med, q1 - {factor} * (q3 - q1) AS lo, q3 + {factor} * (q3 - q1) AS hi FROM qs),
+mm AS (SELECT held, col, med, lo, hi, min({scaled}) AS a, max({scaled}) AS b FROM num JOIN fe USING (col) WHERE fold <> held GROUP BY ALL),
+nb AS (SELECT held, doc, '2:' || pos || ':' || col AS feature, ({scaled} - a) / CASE WHEN b = a THEN 1.0 ELSE b - a END AS value
+  FROM num JOIN mm USING (col)),
+feat AS MATERIALIZED (SELECT * FROM tx UNION ALL SELECT held, ngram, doc, feature, value FROM
+  (SELECT * FROM oh UNION ALL SELECT * FROM nb WHERE value IS NOT NULL AND value <> 0) CROSS JOIN gs),
+sums AS MATERIALIZED (SELECT held, ngram, feature, emotion, sum(value) AS o FROM feat JOIN train USING (doc) WHERE fold <> held GROUP BY ALL),
+pri AS (SELECT held, emotion, count(*) / CAST(n AS DOUBLE) AS p FROM train JOIN fs ON fold <> held JOIN nh USING (held) GROUP BY held, emotion, n),
+tt AS (SELECT held, ngram, feature, sum(o) AS t FROM sums GROUP BY ALL),
+chi AS (SELECT held, ngram, feature, sum(o * o / (p * t)) - any_value(t) AS chi2 FROM sums JOIN pri USING (held, emotion)
+  JOIN tt USING (held, ngram, feature) GROUP BY ALL),
+best AS MATERIALIZED (SELECT held, ngram, feature, row_number() OVER (PARTITION BY held, ngram ORDER BY round(chi2, 9) DESC, feature DESC) AS position
+  FROM chi QUALIFY position <= {max(grid.ks)}),
+gains AS MATERIALIZED (SELECT * FROM sums JOIN best USING (held, ngram, feature)),
+nf AS (SELECT held, ngram, k, count(*) AS nf FROM best JOIN ks ON position <= k GROUP BY ALL),
+ft AS (SELECT held, ngram, k, emotion, sum(o) AS t FROM gains JOIN ks ON position <= k GROUP BY ALL),
+ct AS MATERIALIZED (SELECT c.*, nf.held, pri.emotion AS cls, CASE WHEN fit_prior THEN ln(p) ELSE -ln((SELECT count(DISTINCT emotion) FROM train)) END AS prior,
+  ln(alpha) - ln(coalesce(t, 0) + alpha * nf) AS a
+  FROM cand c JOIN nf USING (ngram, k) JOIN pri USING (held)
+  LEFT JOIN ft ON ft.held = nf.held AND ft.ngram = c.ngram AND ft.k = c.k AND ft.emotion = pri.emotion),
+sx AS (SELECT held, ngram, doc, k, sum(value) AS s FROM feat JOIN best USING (held, ngram, feature) JOIN ks ON position <= k GROUP BY ALL),
+cw AS MATERIALIZED (SELECT f.held, f.ngram, f.doc, g.emotion AS cls, {wide}
+  FROM feat f JOIN gains g ON g.held = f.held AND g.ngram = f.ngram AND g.feature = f.feature GROUP BY f.held, f.ngram, f.doc, g.emotion),
+cx AS ({pairs}),
+jll AS (SELECT ct.candidate_id, ct.held, train.doc, train.fold = ct.held AS val, train.emotion AS actual, ct.cls,
+  prior + coalesce(s, 0) * a + coalesce(c, 0) AS jll
+  FROM train CROSS JOIN ct LEFT JOIN sx ON sx.held = ct.held AND sx.ngram = ct.ngram AND sx.doc = train.doc AND sx.k = ct.k
+  LEFT JOIN cx ON cx.held = ct.held AND cx.ngram = ct.ngram AND cx.doc = train.doc AND cx.k = ct.k AND cx.alpha = ct.alpha AND cx.cls = ct.cls),
+pred AS (SELECT candidate_id, held, val, actual, cls AS predicted FROM jll
+  QUALIFY row_number() OVER (PARTITION BY candidate_id, held, doc ORDER BY jll DESC, cls) = 1),
+lc AS (SELECT candidate_id, held, val, label, sum(s) AS s, sum(tp) AS tp, sum(pc) AS pc FROM (
+  SELECT candidate_id, held, val, actual AS label, 1 AS s, CAST(actual = predicted AS INT) AS tp, 0 AS pc FROM pred
+  UNION ALL SELECT candidate_id, held, val, predicted, 0, 0, 1 FROM pred) GROUP BY ALL),
+f1 AS (SELECT candidate_id, held, val, avg(CASE WHEN s + pc = 0 THEN 0.0 ELSE 2.0 * tp / (s + pc) END) AS f1 FROM lc GROUP BY ALL),
+sc AS (SELECT candidate_id, avg(f1) FILTER (WHERE NOT val) AS mean_train_score, avg(f1) FILTER (WHERE val) AS mean_test_score,
+  stddev_pop(f1) FILTER (WHERE val) AS std_test_score FROM f1 GROUP BY candidate_id)"""
