@@ -13,6 +13,7 @@ import glob
 import os
 import zipfile
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,25 +71,51 @@ def to_double(c: ColumnOrName) -> Column:
 #: A decimal number, with exponent or not, or an infinity.
 NUMERIC_TEXT = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?))\s*$"
 
-#: An item of a flat list literal, and the whole list.
-_ITEM = r"""(?:'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|None|True|False|[+-]?[0-9][0-9.eE+-]*+)"""
-_LIST = rf"^\s*+\[\s*+(?:{_ITEM}\s*+(?:,\s*+{_ITEM}\s*+)*+(?:,\s*+)?+)?+\]\s*+$"
+#: An item of a plain list literal (a string without escapes, an integer or
+#: a name), and the whole list.
+_ITEM = r"""(?:'[^'\\\n]*+'|"[^"\\\n]*+"|None|True|False|-?(?:0|[1-9][0-9]*+)(?![0-9.eEjJxXoObB_]))"""
+_GAP = r"[ \t\n\r\f]*+"
+_LIST = rf"^{_GAP}\[{_GAP}(?:{_ITEM}{_GAP}(?:,{_GAP}{_ITEM}{_GAP})*+(?:,{_GAP})?+)?+\]{_GAP}$"
+
+
+@functools.lru_cache(maxsize=None)
+def _any_literal():
+    """Items of any Python list literal as text; built when first used."""
+    import ast
+    import warnings
+
+    def items(text: str) -> list[str]:
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                value = ast.literal_eval(text)
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return []
+        return [str(x) for x in value] if isinstance(value, list) else []
+
+    @F.pandas_udf("array<string>")
+    def parse(texts: pd.Series) -> pd.Series:
+        return texts.map(items, na_action="ignore")
+
+    return parse
 
 
 def parse_list_literal(c: ColumnOrName) -> Column:
     """``"['Drama', 'Romance']"`` -> ``array('Drama', 'Romance')``.
 
-    The whole text must be a flat list of quoted strings, numbers, ``None``,
-    ``True`` or ``False`` (a comma may follow the last item); NULL, anything
-    else and nested lists give an empty array.  Items are read as text,
-    trimmed, and blank ones dropped.
+    A Python list literal; items are read as text, trimmed, and blank ones
+    dropped; NULL and anything else give an empty array.  Plain lists are
+    parsed in the JVM.  Only a text with a bracket that is no plain list
+    (escapes, adjacent strings, decimals, nested lists) goes to Python, in
+    Arrow batches; the other rows of a batch are NULL there.
     """
     c = _col(c)
-    raw = F.when(c.rlike(_LIST), F.regexp_extract_all(c, F.lit(_ITEM), F.lit(0)))
-    inner = lambda x: F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1")
-    parsed = F.transform(raw, lambda x: F.when(F.substring(x, 1, 1).isin("'", '"'), inner(x)).otherwise(x))
-    items = F.transform(F.coalesce(parsed, F.array().cast("array<string>")), lambda x: trim_unicode(x))
-    return F.filter(items, lambda x: x.isNotNull() & (x != ""))
+    plain = F.coalesce(c.rlike(_LIST), F.lit(False))
+    raw = F.regexp_extract_all(c, F.lit(_ITEM), F.lit(0))
+    bare = F.transform(raw, lambda x: F.when(F.substring(x, 1, 1).isin("'", '"'), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x))
+    other = _any_literal()(F.when(~plain & F.contains(c, F.lit("[")), c))
+    parsed = F.coalesce(F.when(plain, bare).otherwise(other), F.array().cast("array<string>"))
+    return F.filter(F.transform(parsed, lambda x: trim_unicode(x)), lambda x: x.isNotNull() & (x != ""))
 
 
 def tokens_text(arr: ColumnOrName) -> Column:

@@ -258,9 +258,9 @@ def q_select_best_cv(spark, sf):
     return E.select_best_model(_board(spark, sf), "cv_macro_f1")
 
 
-@register("collect_models", f"WITH {PRED_SQL} SELECT model, split, count(*) AS rows FROM p GROUP BY model, split")
-def q_collect(spark, sf):
-    """Per-model prediction tables stacked into one (counts per model/split)."""
+@register("prediction_counts", f"WITH {PRED_SQL} SELECT model, split, count(*) AS rows FROM p GROUP BY model, split")
+def q_prediction_counts(spark, sf):
+    """Predictions of all models, counted per model and split."""
     p = predictions(spark, sf)
     return p.groupBy("model", "split").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -12,11 +12,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from emolens.plans.catalog import register
-from emolens.plans.q_eval import _metrics_long_sql, metrics_long
+from emolens.plans.q_eval import _BOARD_COLS, _BOARD_SQL, _REPORT_SQL, MODELS, _metrics_long_sql, metrics_long
 from emolens.plans.q_prep import DESCRIPTION_SELECT, _desc, _with  # noqa: F401
 from emolens.plans.sqlparts import list_literal as sql_list_literal
 from emolens.plans.sqlparts import r6
-from emolens.session import ensure_checkpoint_dir
+from emolens.session import cut_lineage, ensure_checkpoint_dir
 from emolens.sources import io
 from emolens.sources.fixtures import RAW_REVIEWS_SQL, raw_reviews
 
@@ -59,7 +59,8 @@ def q_read_metrics(spark, sf):
     return io.read_metrics_long(spark, path).select("model", *_METRICS)
 
 
-@register("read_summary_json")
+@register("read_summary_json", _metrics_long_sql() + f""" SELECT model, 42 AS random_state,
+ {r6("first(score) FILTER (WHERE metric = 'macro_f1')")} AS macro_f1, CAST(count(*) AS INTEGER) AS n_metrics FROM ml GROUP BY model""")
 def q_read_summary(spark, sf):
     """Model summaries with nested parameters and metrics, JSON round trip."""
     ml = metrics_long(spark, sf)
@@ -74,7 +75,7 @@ def q_read_summary(spark, sf):
                        F.size("metrics").alias("n_metrics"))
 
 
-@register("write_results")
+@register("write_results", _REPORT_SQL)
 def q_write_results(spark, sf):
     """Classification report written as Parquet and read back."""
     from emolens.plans.q_eval import _train_test
@@ -83,3 +84,22 @@ def q_write_results(spark, sf):
     path = scratch(spark, "report-parquet")
     io.write_results(classification_report(te, by=("model",)), path, fmt="parquet")
     return spark.read.parquet(path)
+
+
+#: What each model of the stand-in was set to; every family has its own names.
+_SETTINGS = {"majority": {"label": "en"}, "length_rule": {"modulus": 5}, "source_rule": {"modulus": 4, "kept": "lang"}}
+
+
+@register("collect_models", _BOARD_SQL + " SELECT model, rank, " + ", ".join(f"{r6(c)} AS {c}" for c in _BOARD_COLS) + """,
+ CASE model WHEN 'majority' THEN 'en' END AS param_label, CASE model WHEN 'length_rule' THEN 5 WHEN 'source_rule' THEN 4 END AS param_modulus,
+ CASE model WHEN 'source_rule' THEN 'lang' END AS param_kept FROM board""")
+def q_collect(spark, sf):
+    """Each model's metrics and parameters written to a folder of its own,
+    all folders read together: one ranked row per model, the missing gaps
+    filled."""
+    base = scratch(spark, "results")
+    ml = cut_lineage(metrics_long(spark, sf))
+    for m in MODELS:  # a folder per model
+        io.write_model_result(ml.where(F.col("model") == m).drop("model"), base, m, _SETTINGS[m])
+    params = [f"param_{p}" for p in ("label", "modulus", "kept")]
+    return io.collect_model_results(spark, base).select("model", "rank", *_BOARD_COLS, *params)

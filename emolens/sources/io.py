@@ -83,3 +83,25 @@ def read_summary_json(spark: SparkSession, path: str, multi_line: bool = True) -
     """Model summaries (nested parameters and metrics): one pretty-printed
     document per file (``multi_line``) or JSON Lines as Spark writes them."""
     return spark.read.option("multiLine", str(multi_line).lower()).schema(SUMMARY_SCHEMA).json(path)
+
+
+def write_model_result(metrics: DataFrame, base: str, model: str, parameters: dict) -> None:
+    """A model's (metric, score) rows and its parameters as one row below
+    ``base/model=<name>``.  Families need not agree in either."""
+    wide = metrics.groupBy().pivot("metric").agg(F.first("score"))
+    wide = wide.withColumns({f"param_{k}": F.lit(v) for k, v in parameters.items()})
+    wide.coalesce(1).write.mode("overwrite").parquet(f"{base}/model={model}")
+
+
+def collect_model_results(spark: SparkSession, base: str) -> DataFrame:
+    """All models' folders below ``base`` in one read: a ranked row per model
+    with every metric and parameter that any of them has (NULL where a model
+    has none).  A missing accuracy gap is train less test accuracy."""
+    from emolens.operators.evaluate import LEADERBOARD_METRICS, model_leaderboard
+
+    # model names are text, whatever they look like
+    rows = spark.read.option("mergeSchema", "true").parquet(base).withColumn("model", F.col("model").cast("string"))
+    have = [m for m in LEADERBOARD_METRICS if m in rows.columns]
+    board = model_leaderboard(rows.select("model", *have).unpivot(["model"], have, "metric", "score").where("score IS NOT NULL"))
+    rest = [c for c in rows.columns if c not in LEADERBOARD_METRICS and c != "model"]
+    return board.join(rows.select("model", *rest), "model")

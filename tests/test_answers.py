@@ -27,8 +27,9 @@ def test_to_double(spark, text, value):
 @pytest.mark.parametrize(("text", "items"), [
     ("['Drama', 'Romance']", ["Drama", "Romance"]), ("['Drama',]", ["Drama"]), ("['a'] junk", []), ("[None]", ["None"]),
     ("[True, 1.5]", ["True", "1.5"]), ("[\"Children's\", 'Drama']", ["Children's", "Drama"]), (r"['a\'b']", ["a'b"]),
-    ("['a, b', 'c]']", ["a, b", "c]"]), ("[]", []), ("[ ]", []), ("broken", []), ("['a' 'b']", []), ("[,]", []), ("['', ' x ']", ["x"]),
-    ("[['a']]", []), (None, []),
+    ("['a, b', 'c]']", ["a, b", "c]"]), ("[]", []), ("[ ]", []), ("broken", []), ("['a' 'b']", ["ab"]), ("[,]", []), ("['', ' x ']", ["x"]),
+    ("[['a']]", ["['a']"]), (None, []), ("[1.2.3]", []), (r"['\x41\tb', '\d']", ["A\tb", r"\d"]), ("[007]", []), ("[1.50, -2, 1e3]", ["1.5", "-2", "1000.0"]),
+    ("(['a'])", ["a"]), ("{'a': ['b']}", []), ("['a', b]", []), ("['unclosed", []), ("[" * 500 + "]" * 500, []), ("[[[]], 'a']", ["[[]]", "a"]), ("['a'],", []),
 ])
 def test_parse_list_literal(spark, text, items):
     assert one(spark, text, parse_list_literal("c")) == items
