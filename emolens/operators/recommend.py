@@ -5,10 +5,10 @@
   struct sort key — partial aggregation keeps a hot title from landing in
   one task, unlike a window partitioned by title;
 * batch requests are answered per *distinct request key* (label, genre,
-  minimum rating): candidates are joined once per key, not once per request,
-  and the top n per key uses ``row_number() <= n`` (planned with a
-  per-partition group limit).  Requests with no hit fall back to the same
-  search without the genre filter (``left_anti`` + union).
+  minimum rating) from rating bands: the catalogue is cut into bands once per
+  (label, genre), each band keeps its n best titles, and a key joins only
+  those.  Requests with no hit fall back to the same search without the genre
+  filter (``left_anti`` + union).
 """
 
 from __future__ import annotations
@@ -99,25 +99,33 @@ def _answer(keys: DataFrame, catalogue: DataFrame, use_genre: bool) -> DataFrame
     """Top-n per request key (label, genre, minimum_rating, n); genre ''
     means no genre filter.
 
-    The join key is the label, which has few values: the key table is tiny
-    (distinct request keys), so AQE broadcasts it at runtime and the
-    catalogue is never shuffled by label; if it is not broadcast, AQE's
-    skew-join splitting divides the hot label partitions."""
-    cat = catalogue.select(*OUTPUT_COLUMNS, "Description", F.lower("predicted_emotion").alias("_label"))
-    cand = keys.join(cat, "_label")
-    cond = F.col("mean_rating") >= F.col("minimum_rating")
-    if use_genre:
-        cond = cond & ((F.col("_genre") == "")
-                       | F.array_contains(F.split("genres_text", " "), F.col("_genre")))
-    cand = cand.where(cond)
-    kcols = ["_label", "_genre", "minimum_rating", "n"]
-    best = dedup_keep_best(cand.select(*kcols, *OUTPUT_COLUMNS, "Description"), "movie_name", kcols)
-    w = Window.partitionBy(*kcols).orderBy(_ranked("recommendation_score").desc(),
-                                           _ranked("mean_rating").desc(), F.asc("movie_name"))
-    ranked = best.withColumn("position", F.row_number().over(w))
+    The thresholds asked for a (label, genre) cut the ratings into bands, and
+    a catalogue row is sorted into its band once per genre of its own that is
+    asked for, however many thresholds there are.  Each band keeps its best n
+    titles (combined map-side, the group limit before the shuffle).  A key is
+    answered from the bands at or above its threshold: a title among the n
+    best of all of them is among the n best of its own band, so nothing is
+    lost, and no key meets more than bands x n rows."""
+    wide = keys.groupBy("_label", "_genre").agg(F.sort_array(F.collect_set("minimum_rating")).alias("_cuts"), F.max("n").alias("_most"))
+    genres = F.array_union(F.array(F.lit("")), F.split("genres_text", " ")) if use_genre else F.array(F.lit(""))
+    cat = catalogue.select(*OUTPUT_COLUMNS, "Description", F.lower("predicted_emotion").alias("_label"), F.explode(
+        F.coalesce(genres, F.array(F.lit("")))).alias("_genre"))
+    band = F.size(F.filter("_cuts", lambda t: t <= F.col("mean_rating")))
+    cand = cat.join(wide, ["_label", "_genre"]).withColumn("_band", band).where(F.col("_band") > 0).drop("_cuts")
+    best = dedup_keep_best(cand, "movie_name", ["_label", "_genre", "_band", "_most"])
+    tops = _numbered(best, ["_label", "_genre", "_band"]).where(F.col("position") <= F.col("_most")).drop("position", "_most")
+    placed = keys.join(wide.drop("_most"), ["_label", "_genre"]).withColumn("_from", F.array_position("_cuts", F.col("minimum_rating"))).drop("_cuts")
+    met = placed.join(tops, ["_label", "_genre"]).where(F.col("_band") >= F.col("_from")).drop("_band", "_from")
+    ranked = _numbered(dedup_keep_best(met, "movie_name", KEY_COLUMNS), KEY_COLUMNS)
     return ranked.where(F.col("position") <= F.col("n")).drop("Description")
 
 
+def _numbered(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with their ``position`` per group, the best first."""
+    w = Window.partitionBy(*by).orderBy(_ranked("recommendation_score").desc(), _ranked("mean_rating").desc(), F.asc("movie_name"))
+    return df.withColumn("position", F.row_number().over(w))
+
+
 KEY_COLUMNS = ["_label", "_genre", "minimum_rating", "n"]
 
 
