@@ -7,6 +7,7 @@ labels:
 =================  =====================================================
 `TextTfidf`        vocabulary with idf
 `WholeOneHot`      category list, with the mode that fills gaps
+`GenreTokens`      the words of a column (multi-hot)
 `ScaledNumbers`    per column: median, fences, minimum, maximum
 `SelectBest`       selected features with their chi² score and index
 `Project`          (feature, component, weight), singular values, and mean
@@ -43,7 +44,7 @@ from emolens.operators.describe import NUMERIC_FEATURES
 from emolens.operators.quantiles import exact_mode
 from emolens.session import cut_lineage
 
-COMPONENT_BLOCK = "3:"
+TOKEN_BLOCK, UNSEEN = "4:", "4"
 
 
 @dataclass
@@ -111,6 +112,39 @@ class WholeOneHot:
         return model, model.transform(rows)
 
 
+class TokensModel(Model):
+    def transform(self, rows: DataFrame) -> DataFrame:
+        doc, column = self.params["doc"], self.params["column"]
+        known = self.tables["tokens"].withColumn("known", F.lit(True))
+        each = rows.select(doc, F.explode(F.array_distinct(_words(column))).alias("token")).join(known, "token", "left")
+        if self.params["unseen"] == "ignore":
+            each = each.where("known")
+        name = F.when(F.col("known"), F.concat(F.lit(TOKEN_BLOCK), "token")).otherwise(F.lit(UNSEEN))
+        return each.select(doc, name.alias("feature")).distinct().withColumn("value", F.lit(1.0))
+
+
+@dataclass(frozen=True)
+class GenreTokens:
+    """Multi-hot of the words of a column.  Words in fewer than ``min_df``
+    training rows and words never seen there are ``unseen``: 'ignore' drops
+    them, 'mark' makes them one feature of their own."""
+
+    doc: str
+    column: str = "genres_text"
+    min_df: int = 1
+    unseen: str = "ignore"
+
+    def fit(self, rows: DataFrame) -> tuple[TokensModel, DataFrame]:
+        tokens = rows.select(F.explode(F.array_distinct(_words(self.column))).alias("token")).groupBy("token") \
+            .agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= self.min_df)
+        model = TokensModel(asdict(self), {"tokens": cut_lineage(tokens.select("token"))})
+        return model, model.transform(rows)
+
+
+def _words(column: str):
+    return F.regexp_extract_all(F.coalesce(F.col(column), F.lit("")), F.lit(r"(?U)\S+"), 0)
+
+
 class NumbersModel(Model):
     def transform(self, rows: DataFrame) -> DataFrame:
         return X.scaled_numbers(rows, self.params["doc"], self.params["columns"], self.tables["columns"])
@@ -335,7 +369,7 @@ def _numbered(docs: DataFrame, doc: str, label: str, classes: list[str], balance
 
 # ------------------------------------------------------------------ pipeline
 
-_KINDS = {c.__name__: c for c in (TextModel, OneHotModel, NumbersModel, SelectModel, ProjectModel, BayesModel, LinearModel, SparkClassifier)}
+_KINDS = {c.__name__: c for c in (TextModel, OneHotModel, TokensModel, NumbersModel, SelectModel, ProjectModel, BayesModel, LinearModel, SparkClassifier)}
 _ROLES = ("text", "category", "numbers", "select", "project", "classifier")
 
 
@@ -388,7 +422,7 @@ class Pipeline:
     the selected features (sparse)."""
 
     text: TextTfidf
-    category: WholeOneHot
+    category: WholeOneHot | GenreTokens
     numbers: ScaledNumbers
     select: SelectBest
     classifier: NaiveBayes | Linear | SparkModel

@@ -198,10 +198,14 @@ def numeric_block(train: DataFrame, other: DataFrame, doc: str, columns=NUMERIC_
 # --------------------------------------------------------------- tf-idf
 
 def term_counts(df: DataFrame, doc: str, text: str, ngram=(1, 1), stop_words=None) -> DataFrame:
-    """(doc, term, tf) — missing text is imputed with the constant first."""
+    """(doc, term, tf) — missing text is imputed with the constant first.
+
+    Texts are dealt by document before they are taken apart, so that counting
+    needs no shuffle of (doc, term) rows, several times the text."""
     t = F.coalesce(F.col(text), F.lit(MISSING_TEXT))
-    grams = ngram_range(tokenize(t, stop_words), *ngram)
-    return (df.select(doc, F.explode(grams).alias("term"))
+    rows = df.select(doc, t.alias("_t")).repartition(doc)
+    grams = ngram_range(tokenize("_t", stop_words), *ngram)
+    return (rows.select(doc, F.explode(grams).alias("term"))
             .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

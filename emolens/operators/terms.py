@@ -50,11 +50,12 @@ def doc_terms(docs: DataFrame, text: str, doc_key: str, ngram: tuple[int, int] =
     """(doc, term, tf): tokenise, build n-grams, explode, count per doc.
 
     When the key column is the text itself, its md5 digest stands in for it.
+    Texts are dealt by document first: counting then shuffles no terms.
     """
-    toks = tokenize(text, stop_words)
-    grams = ngram_range(toks, *ngram)
     key = text_key(doc_key).alias(doc_key) if doc_key == text else F.col(doc_key)
-    exploded = docs.select(key, *keep, F.explode(grams).alias("term"))
+    rows = docs.select(key, *keep, F.col(text).alias("_text")).repartition(doc_key)
+    grams = ngram_range(tokenize("_text", stop_words), *ngram)
+    exploded = rows.select(doc_key, *keep, F.explode(grams).alias("term"))
     return exploded.groupBy(doc_key, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -82,3 +83,25 @@ def top_terms_by_class(docs: DataFrame, label: str = "emotion", text: str = "Des
     return (st.withColumn("position", F.row_number().over(w))
             .where(F.col("position") <= k)
             .select(label, "term", "frequency", F.col("position").cast("bigint")))
+
+
+def vocabulary_grid(stats: DataFrame, min_dfs, sizes, most_df=None) -> DataFrame:
+    """Per (min_df, max_features): the terms kept and the occurrences they
+    cover, for every setting from one table of term statistics.
+
+    Terms of equal (document frequency, frequency) are interchangeable here,
+    so a histogram of the two stands for the vocabulary: a minimum is a range
+    of it, and the most frequent terms are its head.  No text is read again.
+    A size of 0 means no limit."""
+    kept = stats if most_df is None else stats.where(F.col("document_frequency") <= most_df)
+    hist = kept.groupBy("document_frequency", "frequency").agg(F.count(F.lit(1)).alias("n"))
+    least = F.explode(F.filter(F.array(*[F.lit(m) for m in min_dfs]), lambda m: m <= F.col("document_frequency")))
+    runs = hist.select(least.alias("min_df"), "frequency", "n").groupBy("min_df", "frequency").agg(F.sum("n").alias("n"))
+    head = Window.partitionBy("min_df").orderBy(F.desc("frequency")).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("before", F.coalesce(F.sum("n").over(head), F.lit(0)))
+    each = runs.withColumn("max_features", F.explode(F.array(*[F.lit(k) for k in sizes])))
+    room = F.greatest(F.col("max_features") - F.col("before"), F.lit(0))
+    taken = F.when(F.col("max_features") == 0, F.col("n")).otherwise(F.least(F.col("n"), room))
+    return each.groupBy("min_df", "max_features").agg(
+        F.sum(taken).alias("terms"), F.sum(taken * F.col("frequency")).alias("occurrences"),
+        F.min(F.when(taken > 0, F.col("frequency"))).alias("least_frequency"))

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from emolens.ml.bayes_grid import BayesGrid, grid_search_bayes
-from emolens.ml.pipeline import NaiveBayes, PipelineModel, SparkModel, dense_pipeline, sparse_pipeline
+from emolens.ml.pipeline import GenreTokens, NaiveBayes, PipelineModel, SparkModel, dense_pipeline, sparse_pipeline
 from emolens.operators import recommend as R
 from emolens.operators.describe import NUMERIC_FEATURES
 from emolens.plans.catalog import register
@@ -113,6 +113,17 @@ def q_predict(spark, sf):
     return predicted_catalogue(spark, sf).select(KEY, F.col(LABEL).alias("actual"), F.col("predicted_emotion").alias("predicted"))
 
 
+@register("genre_multi_hot", "WITH " + split_ctes() + """,
+ words AS (SELECT DISTINCT unnest(regexp_extract_all(genres_text, '\\S+')) AS token FROM train),
+ t AS (SELECT DISTINCT doc, unnest(regexp_extract_all(genres_text, '\\S+')) AS token FROM test)
+ SELECT DISTINCT doc, CASE WHEN token IN (SELECT token FROM words) THEN '4:' || token ELSE '4' END AS feature, 1.0 AS value FROM t""")
+def q_multi_hot(spark, sf):
+    """Genre words of the test rows, learned from the training rows; words
+    unseen there are one feature."""
+    tr, te = train_test(spark, sf)
+    return GenreTokens(DOC, unseen="mark").fit(tr)[0].transform(te)
+
+
 # ---------------------------------------------------------------------- grid
 
 GRID = BayesGrid()

@@ -107,3 +107,21 @@ def q_term_stats(spark, sf):
     """Corpus and document frequency of every unigram and bigram."""
     tf = T.doc_terms(_desc(spark, sf), "Description", "Description", (1, 2))
     return T.term_stats(tf, "Description")
+
+
+MIN_DFS, MAX_FEATURES = (1, 2, 3, 5, 10), (500, 1000, 2000, 5000, 0)
+
+
+@register("vocabulary_grid", _with() + _toks_cte() + f""", g AS (SELECT Description, unnest(toks) AS term FROM toks),
+ st AS (SELECT term, count(*) AS cf, count(DISTINCT Description) AS df FROM g GROUP BY term),
+ s AS (SELECT m.v AS min_df, k.v AS max_features FROM (VALUES {", ".join(f"({m})" for m in MIN_DFS)}) m(v)
+   CROSS JOIN (VALUES {", ".join(f"({k})" for k in MAX_FEATURES)}) k(v)),
+ r AS (SELECT min_df, max_features, cf, row_number() OVER (PARTITION BY min_df, max_features ORDER BY cf DESC, term) AS pos
+   FROM st JOIN s ON df >= min_df WHERE df <= 0.95 * (SELECT count(*) FROM descriptions))
+ SELECT min_df, max_features, count(*) AS terms, CAST(sum(cf) AS BIGINT) AS occurrences, min(cf) AS least_frequency
+ FROM r WHERE max_features = 0 OR pos <= max_features GROUP BY min_df, max_features""")
+def q_vocabulary_grid(spark, sf):
+    """Vocabulary size and coverage of every (min_df, max_features) setting."""
+    d = _desc(spark, sf)
+    stats = T.term_stats(T.doc_terms(d, "Description", "Description"), "Description")
+    return T.vocabulary_grid(stats, MIN_DFS, MAX_FEATURES, F.lit(0.95) * d.select(F.count(F.lit(1))).scalar())
