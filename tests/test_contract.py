@@ -7,7 +7,8 @@ from tests.conftest import SF_SMALL
 
 SUBSET = ["describe_per_key", "describe_per_key_big", "exact_dedup", "top_terms_by_class",
           "histogram", "box_stats_by_class", "stratified_split", "classification_report",
-          "model_comparison", "recommend_fallback", "clf_naive_bayes"]
+          "model_comparison", "recommend_fallback", "clf_naive_bayes", "pipeline_sparse", "predict",
+          "recommend_stream", "collect_models", "vocabulary_grid", "genre_multi_hot", "iqr_bounds", "describe_numeric"]
 
 
 def test_entry_runs(spark):
@@ -28,8 +29,8 @@ def test_every_query_has_oracle_or_is_iterative():
     rows_only = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert rows_only <= {"clf_logistic", "clf_linear_svm", "clf_decision_tree", "clf_random_forest",
                          "clf_mlp", "truncated_svd", "svd_explained_variance", "top_k_importance",
-                         "training_loss_curve", "grid_search", "save_load_model", "predict",
-                         "component_importance", "read_summary_json", "write_results"}
+                         "training_loss_curve", "grid_search_logistic", "predict_logistic", "pipeline_dense",
+                         "pipeline_dense_scaled", "component_importance"}
 
 
 @pytest.mark.parametrize("name", SUBSET)
