@@ -34,20 +34,21 @@ test AS ({scored})"""
 
 
 def _grams(ngram) -> str:
-    t = tokens_sql("coalesce(Description, 'missing_description')")
+    """N-grams of the token list ``t``."""
     if ngram == (1, 1):
-        return t
-    if ngram == (2, 2):
-        return bigrams_sql(t)
-    return f"list_concat({t}, {bigrams_sql(t)})"
+        return "t"
+    return bigrams_sql("t") if ngram == (2, 2) else f"list_concat(t, {bigrams_sql('t')})"
 
 
 def text_ctes(ngram=(1, 1), min_df=2, max_df=0.95, max_features=None) -> str:
     g = _grams(ngram)
     cap = (f"ORDER BY cf DESC, term LIMIT {max_features}" if max_features else "")
+    tokens = tokens_sql("coalesce(Description, 'missing_description')")
     return f""",
-tf_train AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest({g}) AS term FROM train) GROUP BY doc, term),
-tf_test AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest({g}) AS term FROM test) GROUP BY doc, term),
+tok_train AS MATERIALIZED (SELECT doc, {tokens} AS t FROM train),
+tok_test AS MATERIALIZED (SELECT doc, {tokens} AS t FROM test),
+tf_train AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest({g}) AS term FROM tok_train) GROUP BY doc, term),
+tf_test AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest({g}) AS term FROM tok_test) GROUP BY doc, term),
 ntr AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM train),
 vstat AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf_train GROUP BY term
    HAVING count(*) >= {min_df} AND count(*) <= {max_df} * (SELECT n FROM ntr) {cap}),
@@ -164,7 +165,7 @@ fs AS (SELECT unnest(range({folds})) AS held), gs(ngram) AS (VALUES {values(grid
 als(alpha) AS (VALUES {values(grid.alphas)}), cand(candidate_id, alpha, fit_prior, ngram, k) AS (VALUES {cands}),
 tk AS MATERIALIZED (SELECT doc, fold, {tokens_sql("coalesce(Description, 'missing_description')")} AS t FROM train),
 tf AS MATERIALIZED (SELECT doc, fold, term, count(*) AS tf FROM (
-  SELECT doc, fold, unnest({'list_concat(t, ' + bigrams_sql('t') + ')' if max(grid.ngrams) > 1 else 't'}) AS term FROM tk) GROUP BY ALL),
+  SELECT doc, fold, unnest({_grams((1, max(grid.ngrams)))}) AS term FROM tk) GROUP BY ALL),
 nh AS (SELECT held, count(*) AS n FROM train JOIN fs ON fold <> held GROUP BY held),
 voc AS MATERIALIZED (SELECT held, term, ln((1.0 + n) / (1.0 + count(*))) + 1.0 AS idf FROM tf JOIN fs ON fold <> held JOIN nh USING (held)
   GROUP BY held, term, n HAVING count(*) >= 2 AND count(*) <= 0.95 * n),
