@@ -90,12 +90,13 @@ def q_confusion_wide(spark, sf):
     return E.confusion_matrix(te.where(F.col("model") == "length_rule"), ["de", "en", "es", "fr"])
 
 
-_REPORT_SQL = f"""WITH {PRED_SQL}, sc AS {scores_sql(lc_sql('te', 'model'))}, sm AS {summary_sql('sc', 'model')}
+_REPORT_FROM_TE = f""", sc AS {scores_sql(lc_sql('te', 'model'))}, sm AS {summary_sql('sc', 'model')}
  SELECT model, label, {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1_score,
    {r6('support')} AS support FROM sc
  UNION ALL SELECT model, 'accuracy', {r6('accuracy')}, {r6('accuracy')}, {r6('accuracy')}, {r6('accuracy')} FROM sm
  UNION ALL SELECT model, 'macro avg', {r6('macro_precision')}, {r6('macro_recall')}, {r6('macro_f1')}, {r6('n')} FROM sm
  UNION ALL SELECT model, 'weighted avg', {r6('weighted_precision')}, {r6('weighted_recall')}, {r6('weighted_f1')}, {r6('n')} FROM sm"""
+_REPORT_SQL = f"WITH {PRED_SQL}" + _REPORT_FROM_TE
 
 
 @register("classification_report", _REPORT_SQL)

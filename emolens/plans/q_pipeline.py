@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from emolens.ml.bayes_grid import BayesGrid, grid_search_bayes
 from emolens.ml.pipeline import GenreTokens, NaiveBayes, PipelineModel, SparkModel, dense_pipeline, sparse_pipeline
+from emolens.operators import evaluate as E
 from emolens.operators import recommend as R
 from emolens.operators.describe import NUMERIC_FEATURES
 from emolens.plans.catalog import register
+from emolens.plans.q_eval import _REPORT_FROM_TE
 from emolens.plans.q_features import DOC, K_BEST, KEY, LABEL, split_table, train_test
 from emolens.plans.q_prep import _desc
 from emolens.plans.q_recommend import batch_sql
@@ -107,10 +109,51 @@ def q_save_load(spark, sf):
     return fitted.transform(rows).select(DOC, KEY, "predicted").join(again, DOC).select(KEY, "predicted", "reloaded")
 
 
-@register("predict", _scored(_CATALOGUE) + " SELECT Description, actual, predicted FROM pred")
+@register("predict", _scored(_CATALOGUE) + """ SELECT p.Description, p.actual, p.predicted, coalesce(s.split, 'none') AS split
+ FROM pred p LEFT JOIN split s ON p.doc = 'c:' || s.doc""")
 def q_predict(spark, sf):
-    """The pipeline's label of every catalogue row, in training or not."""
-    return predicted_catalogue(spark, sf).select(KEY, F.col(LABEL).alias("actual"), F.col("predicted_emotion").alias("predicted"))
+    """The pipeline's label of every catalogue row, and whether the row was
+    trained on, held out, or in neither (a class too small to split)."""
+    part = split_table(spark, sf).select(KEY, "split")
+    return predicted_catalogue(spark, sf).join(part, KEY, "left").select(
+        KEY, F.col(LABEL).alias("actual"), F.col("predicted_emotion").alias("predicted"), F.coalesce("split", F.lit("none")).alias("split"))
+
+
+# ---------------------------------------------------------------- evaluation
+# on the pipeline's own labels, not on rules that know the true one
+
+_OWN = _scored("SELECT * FROM split") + """,
+ own AS (SELECT 'bayes' AS model, s.split, p.actual, p.predicted FROM pred p JOIN split s USING (doc)),
+ te AS (SELECT * FROM own WHERE split = 'test')"""
+
+
+def own_predictions(spark, sf):
+    """(model, split, actual, predicted) of all training and test rows."""
+    scored = loaded(spark, sf).transform(split_table(spark, sf))
+    return scored.select(F.lit("bayes").alias("model"), "split", F.col(LABEL).alias("actual"), "predicted")
+
+
+@register("pipeline_report", _OWN + _REPORT_FROM_TE)
+def q_report(spark, sf):
+    """Classification report of the pipeline on the test rows."""
+    return E.classification_report(own_predictions(spark, sf).where("split = 'test'"), by=("model",))
+
+
+@register("pipeline_confusion", _OWN + " SELECT split, actual, predicted, count(*) AS count FROM own GROUP BY ALL")
+def q_confusion(spark, sf):
+    """Confusion counts of the pipeline on training and test rows."""
+    return E.confusion_long(own_predictions(spark, sf), by=("split",))
+
+
+@register("pipeline_overfit", _OWN + f""", acc AS (SELECT split, avg(CASE WHEN actual = predicted THEN 1.0 ELSE 0.0 END) AS a FROM own GROUP BY split)
+ SELECT 'bayes' AS model, {r6("any_value(a) FILTER (WHERE split = 'train')")} AS train_accuracy,
+   {r6("any_value(a) FILTER (WHERE split = 'test')")} AS test_accuracy,
+   {r6("any_value(a) FILTER (WHERE split = 'train') - any_value(a) FILTER (WHERE split = 'test')")} AS accuracy_gap FROM acc""")
+def q_overfit(spark, sf):
+    """Training and test accuracy of the pipeline and their gap."""
+    own = own_predictions(spark, sf)
+    part = lambda s: own.where(F.col("split") == s)
+    return E.overfit_gap(E.metrics_summary(part("test"), part("train"), ("model",)))
 
 
 @register("genre_multi_hot", "WITH " + split_ctes() + """,

@@ -7,7 +7,7 @@ from tests.conftest import SF_SMALL
 
 SUBSET = ["describe_per_key", "describe_per_key_big", "exact_dedup", "top_terms_by_class",
           "histogram", "box_stats_by_class", "stratified_split", "classification_report",
-          "model_comparison", "recommend_fallback", "clf_naive_bayes", "pipeline_sparse", "predict",
+          "model_comparison", "recommend_fallback", "clf_naive_bayes", "pipeline_sparse", "predict", "pipeline_report",
           "recommend_stream", "collect_models", "vocabulary_grid", "genre_multi_hot", "iqr_bounds", "describe_numeric"]
 
 
