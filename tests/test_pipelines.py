@@ -179,6 +179,34 @@ def test_scaled_network_round_trip(spark, train, other):
     assert np.mean([got[k] == truth[k] for k in truth]) > 0.7
 
 
+def test_genre_words_and_their_unseen_rule(spark, train, other):
+    from emolens.ml.pipeline import GenreTokens, Pipeline, ScaledNumbers, SelectBest, TextTfidf
+
+    known = {w for r in rows(1, 150, "t") for w in (r[3] or "").split()}
+    genres = {r["doc"]: (r["genres_text"] or "").split() for r in other.select("doc", "genres_text").collect()}
+    for unseen in ("ignore", "mark"):
+        model, _ = GenreTokens("doc", unseen=unseen).fit(train)
+        got = {}
+        for r in model.transform(other).collect():
+            assert r["value"] == 1.0
+            got.setdefault(r["doc"], set()).add(r["feature"])
+        want = {d: {f"4:{w}" for w in ws if w in known} | ({"4"} if unseen == "mark" and set(ws) - known else set()) for d, ws in genres.items()}
+        assert got == {d: f for d, f in want.items() if f} and ("o1" in got) == (unseen == "mark")
+    # as a block of a pipeline: selected by chi², saved and reloaded
+    spec = Pipeline(TextTfidf("doc"), GenreTokens("doc"), ScaledNumbers("doc"), SelectBest(500), NaiveBayes("doc", 0.5))
+    fitted = spec.fit(train, "emotion")
+    scores = {r["feature"]: r["chi2"] for r in fitted.stages["select"].tables["selected"].collect()}
+    docs = {r[0]: (r[1], set((r[3] or "").split())) for r in rows(1, 150, "t")}
+    names = sorted({e for e, _ in docs.values()})
+    for w in known:
+        seen = np.array([sum(e == c and w in ws for e, ws in docs.values()) for c in names], float)
+        due = seen.sum() * np.array([sum(e == c for e, _ in docs.values()) for c in names]) / len(docs)
+        assert scores[f"4:{w}"] == pytest.approx(((seen - due) ** 2 / due).sum())
+    path = folder(spark, "genres")
+    fitted.save(path)
+    assert labels(PipelineModel.load(spark, path).transform(other)) == labels(fitted.transform(other))
+
+
 def test_scoring_plans_have_no_python(spark, other, tree):
     plan = tree.vectors(other)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
