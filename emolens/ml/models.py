@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
+from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,3 +93,22 @@ def fit_predict(c: Candidate, train: DataFrame, others: dict[str, DataFrame], cl
         p = model.transform(df)
         out[key] = p.withColumn("predicted", F.element_at(names, (F.col("prediction") + 1).cast("int")))
     return model, out
+
+
+def component_sweep(c: Candidate, train: DataFrame, rows: DataFrame, classes: list[str], sizes,
+                    features: str = "features") -> DataFrame:
+    """``c`` fitted on each of the first ``sizes`` components of ``train``;
+    every row of ``rows`` once per size as (components, actual, predicted).
+
+    The rows are read once: each model adds its label as a column."""
+    names = F.array(*[F.lit(x) for x in classes])
+    weight_sum = train.select(F.sum("weight")).first()[0] or 1.0
+    labelled = rows
+    for n in sizes:
+        cut = VectorSlicer(inputCol=features, outputCol="_cut", indices=list(range(n)))
+        model = make_estimator(c, n, len(classes), weight_sum).setFeaturesCol("_cut").fit(cut.transform(train))
+        p = model.transform(cut.transform(labelled))
+        label = F.element_at(names, (F.col("prediction") + 1).cast("int"))
+        labelled = p.withColumn(f"_by_{n}", label).drop("_cut", "prediction", "probability", "rawPrediction")
+    each = F.array(*[F.struct(F.lit(n).alias("components"), F.col(f"_by_{n}").alias("predicted")) for n in sizes])
+    return labelled.select("actual", F.inline(each))

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emolens.ml.models import Candidate, fit_predict
+from emolens.ml.models import Candidate, component_sweep, fit_predict
+from emolens.ml.spectral import fit_components, variance_curve
 from emolens.ml.tuning import grid_search, vector_sets
 from emolens.ml.vectors import explained_variance, feature_index, svd_components_table, svd_fit, svd_project, to_sparse
 from emolens.operators import evaluate as E
@@ -20,6 +21,8 @@ from emolens.plans.q_features import DOC, LABEL, train_test
 from emolens.session import cut_lineage, folder_stamp
 
 SVD_K = 100
+SWEEP = (10, 25, 50, 75, SVD_K)
+TREE = Candidate("decision_tree", {"criterion": "entropy", "max_depth": 20, "min_samples": 1})
 
 
 def _classes(tr):
@@ -108,7 +111,16 @@ def q_svd(spark, sf):
 
 @register("svd_explained_variance")
 def q_svd_var(spark, sf):
-    """Variance share per component and cumulative curve (training rows)."""
+    """Variance share per component and cumulative curve of the capped TF-IDF
+    matrix (5,000 uni- and bigrams of the training rows)."""
+    tr, te = train_test(spark, sf)
+    f_tr = cut_lineage(X.text_block(tr, te, DOC, ngram=(1, 2), max_features=5000)[0])
+    return variance_curve(fit_components(f_tr, DOC, SVD_K), f_tr, tr.count())
+
+
+@register("svd_explained_variance_selected")
+def q_svd_var_selected(spark, sf):
+    """The same curve of the chi²-selected matrix that the dense models use."""
     _, dtr, _, _, f_tr, n, kk = _dense_sets(spark, sf)
     return explained_variance(dtr, f_tr, n, kk, "features")
 
@@ -116,11 +128,21 @@ def q_svd_var(spark, sf):
 @register("clf_decision_tree")
 def q_dt(spark, sf):
     classes, dtr, dte, *_ = _dense_sets(spark, sf)
-    c = Candidate("decision_tree", {"criterion": "entropy", "max_depth": 20, "min_samples": 1})
-    _, p = fit_predict(c, dtr, {"test": dte}, classes)
+    _, p = fit_predict(TREE, dtr, {"test": dte}, classes)
     return _pred_out(p)
 
 
+@register("svd_component_sweep")
+def q_svd_sweep(spark, sf):
+    """Test metrics of the decision tree on the first 10 to 100 components of
+    one fitted SVD: a component does not depend on how many follow it, so a
+    prefix is a slice of the vectors.  All trees label the test rows in one pass."""
+    classes, dtr, dte, *_, kk = _dense_sets(spark, sf)
+    sizes = sorted({min(n, kk) for n in SWEEP})
+    scored = component_sweep(TREE, dtr, dte, classes, sizes)
+    return E.summary_metrics(E.label_counts(scored, by=("components",)), ("components",))
+
+
 @register("clf_random_forest")
 def q_rf(spark, sf):
     classes, dtr, dte, *_ = _dense_sets(spark, sf)

@@ -28,7 +28,8 @@ def test_every_query_has_oracle_or_is_iterative():
     # the training-data queries have tests of their own beside them
     rows_only = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert rows_only <= {"clf_logistic", "clf_linear_svm", "clf_decision_tree", "clf_random_forest",
-                         "clf_mlp", "truncated_svd", "svd_explained_variance", "top_k_importance",
+                         "clf_mlp", "truncated_svd", "svd_explained_variance", "svd_explained_variance_selected",
+                         "svd_component_sweep", "top_k_importance",
                          "training_loss_curve", "grid_search_logistic", "predict_logistic", "pipeline_dense",
                          "pipeline_dense_scaled", "component_importance"}
 
