@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from emolens.session import ensure_checkpoint_dir
 
@@ -46,6 +47,19 @@ def free_name(columns: list[str], wanted: str) -> str:
     return wanted
 
 
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``df.mapInArrow`` for columns of any name.  Spark can't address a name
+    with a dot there, so columns travel under numbers; ``run`` sees the names."""
+    names, numbers = df.columns, lambda n: [f"c{i}" for i in range(n)]
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in run(b.rename_columns(names) for b in batches):
+            yield b.rename_columns(numbers(len(schema)))
+
+    out = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+    return df.toDF(*numbers(len(names))).mapInArrow(named, out).toDF(*schema.names)
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

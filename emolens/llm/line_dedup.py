@@ -106,7 +106,7 @@ def remove_shared_runs(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kept = _with_units(F.col(f"a.{t}"), lambda u: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(u) - 1), cut), lambda i: F.get(u, i)))
     new = F.when(cut.isNull(), F.col(f"a.{text}")).otherwise(F.array_join(kept, "\n"))
-    out = [(new if c == text else F.col(f"a.{c}")).alias(c) for c in docs.columns]
+    out = [(new if c == text else F.col(f"a.`{c}`")).alias(c) for c in docs.columns]
     if removed:
         # a passage begins where the line before is not cut
         begins = F.size(F.array_except(cut, F.transform(cut, lambda i: i + 1)))
@@ -167,7 +167,7 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
     kept = F.filter(F.transform(chunks(F.col(f"a.{t}"), modulus), lambda c, i: F.when(
         ~F.array_contains(F.col(f"b.{drop}"), i.cast("int")), c)), lambda x: x.isNotNull())
     new = F.when(F.col(f"b.{drop}").isNull(), F.col(f"a.{text}")).otherwise(F.array_join(kept, "\n"))
-    out = [(new if c == text else F.col(f"a.{c}")).alias(c) for c in docs.columns]
+    out = [(new if c == text else F.col(f"a.`{c}`")).alias(c) for c in docs.columns]
     if removed:
         out.append(F.coalesce(F.size(F.col(f"b.{drop}")), F.lit(0)).alias(removed))
     return whole.alias("a").join(later.alias("b"), same("a", "b"), "left").select(*out)

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from emolens.llm.common import free_name, text_chunks, written
+from emolens.llm.common import free_name, map_in_arrow, text_chunks, written
 
 KEY = "replace-this-key"
 MOST_DRAWS = 64
@@ -456,5 +456,5 @@ def replace_entities(docs: DataFrame, key: str = "doc_id", text: str = "text", s
         quiet = quiet.withColumn(replaced, F.lit(0).cast("long"))
     loud = docs.where(hint).withColumn(h, F.xxhash64(text)).alias("a").join(
         todo.alias("b"), F.col(f"a.{key}").eqNullSafe(F.col("b.k_")) & (F.col(f"a.{h}") == F.col("b.h_")), "left")
-    loud = loud.select(*[F.col(f"a.{c}") for c in docs.columns], F.col(f"b.{plan}").alias(plan)).mapInArrow(run, schema)
-    return quiet.unionByName(loud)
+    loud = loud.select(*[F.col(f"a.`{c}`") for c in docs.columns], F.col(f"b.{plan}").alias(plan))
+    return quiet.unionByName(map_in_arrow(loud, run, schema))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from emolens.llm.common import SPACES, WORD, free_name, text_chunks
+from emolens.llm.common import SPACES, WORD, free_name, map_in_arrow, text_chunks
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
             "n_repeat_words", "n_echo_words", "n_upper_words", "n_letter_words")
@@ -164,13 +164,13 @@ def measure(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
     struct = StructType([StructField(c, LongType(), False) for c in MEASURES])
     fields = [docs.schema[c] for c in keep]
     schema = StructType([*fields, StructField("m" if "m" == name else name, struct, False)])
-    slim = docs.select(*dict.fromkeys([*keep, text]))
+    slim = docs.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text])])
 
     def run(batches):
         for b in _measured(batches, text, keep):
             yield b.rename_columns([*keep, name])
 
-    return slim.mapInArrow(run, schema), name
+    return map_in_arrow(slim, run, schema), name
 
 
 def failure_bits(prefix: str = "") -> Column:
