@@ -87,19 +87,23 @@ def correlation_pair(df: DataFrame, x: str, y: str) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
     """Pearson matrix in long form ``(feature_x, feature_y, correlation)``.
 
-    One aggregate computes every pair once (upper triangle incl. diagonal);
-    the lower triangle is mirrored.  A constant column gives NULL.
+    Every row gives its upper triangle (incl. diagonal) as rows of (pair, x,
+    y), and one small aggregate per pair takes them, combined map-side: all
+    pairs as columns of one aggregate made methods too long to be compiled.
+    The lower triangle is mirrored.  A constant column gives NULL.
     """
     pairs = list(combinations_with_replacement(list(columns), 2))
-    aggs = [pearson(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    row = df.agg(*aggs)
+    cells = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                      for i, (a, b) in enumerate(pairs)])
+    by_pair = df.select(F.inline(cells)).groupBy("pair").agg(pearson("x", "y").alias("r"))
+    # one row per pair
+    row = by_pair.agg(F.map_from_entries(F.collect_list(F.struct("pair", "r"))).alias("r"))
     entries = []
     for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
-                                F.col(f"p{i}").alias("correlation")))
+        r = F.try_element_at("r", F.lit(i)).alias("correlation")
+        entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), r))
         if a != b:
-            entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"),
-                                    F.col(f"p{i}").alias("correlation")))
+            entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"), r))
     return row.select(F.inline(F.array(*entries)))
 
 

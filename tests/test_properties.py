@@ -131,3 +131,30 @@ def test_svd_fit_matches_numpy(spark):
     expected = np.linalg.svd(M, compute_uv=False)[:5]
     assert np.allclose(s, expected, rtol=1e-8)
     assert np.allclose(v.T @ v, np.eye(5), atol=1e-8)
+
+
+def test_correlation_matrix_by_pair(spark):
+    import math
+
+    import numpy as np
+    from emolens.operators.eda import correlation_matrix
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    data = [(float(a), float(b), int(c), 3.0, None if i % 7 == 0 else float(a * b)) for i, (a, b, c) in enumerate(zip(
+        rng.normal(size=200), rng.normal(size=200), rng.integers(0, 9, 200)))]
+    df = spark.createDataFrame(data, "a double, b double, c int, k double, n double")
+    out = correlation_matrix(df, ["a", "b", "c", "k", "n"])
+    rows = out.collect()
+    assert [(r.feature_x, r.feature_y) for r in rows[:3]] == [("a", "a"), ("a", "b"), ("b", "a")] and len(rows) == 25
+    for r in rows:
+        x, y = ([row["abckn".index(c)] for row in data] for c in (r.feature_x, r.feature_y))
+        both = [(u, v) for u, v in zip(x, y) if u is not None and v is not None]
+        if "k" in (r.feature_x, r.feature_y):
+            assert r.correlation is None
+        else:
+            assert math.isclose(r.correlation, np.corrcoef(*zip(*both))[0, 1], abs_tol=1e-9)
+    # a few buffers per pair, not those of all pairs in one row
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("covar_samp") == 1
+    none = correlation_matrix(df.where(F.lit(False)), ["a", "b"]).collect()
+    assert [tuple(r) for r in none] == [("a", "a", None), ("a", "b", None), ("b", "a", None), ("b", "b", None)]
