@@ -195,38 +195,32 @@ class BoundaryEncoder:
         becomes the older between two calls."""
         if self._held > CACHE:
             self._known, self._older, self._held = {}, self._known, 0
-        known, older = self._known, self._older
+        known, older = self._known, self._older.get
 
-        def keep(word, ids: bytes) -> None:
-            known[word] = ids
-            self._held += len(word) + len(ids) + ENTRY
+        def keep(found: dict) -> None:
+            known.update(found)
+            self._held += sum(map(len, found)) + sum(map(len, found.values())) + ENTRY * len(found)
 
+        found: dict[str, bytes] = {}
         pieces: dict[str, list[str]] = {}
-        todo: set[str] = set()
-        for w in words:
-            if w in known:
-                continue
+        new: list[str] = []
+        for w in words.difference(known):
             if isinstance(w, int):
                 known[w] = struct.pack("<I", w)
-            elif (ids := older.get(w)) is not None:
-                keep(w, ids)
+            elif (ids := older(w)) is not None:
+                found[w] = ids
             elif w.isalpha():  # letters alone are one pre-token
-                todo.add(w)
+                new.append(w)
             else:
-                pieces[w] = ps = [w[:-1], w[-1]] if w[-1:] in (".", ",") and w[:-1].isalpha() else _PIECES(w)
-                todo.update(ps)
-        new = []
-        for p in todo:
-            if p not in known:
-                if (ids := older.get(p)) is not None:
-                    keep(p, ids)
-                else:
-                    new.append(p)
-        for p, ids in zip(new, self._merged(new) if new else (), strict=True):
-            keep(p, ids)
-        for w, ps in pieces.items():
-            if w not in known:
-                keep(w, b"".join([known[p] for p in ps]))
+                pieces[w] = [w[:-1], w[-1]] if w[-1:] in (".", ",") and w[:-1].isalpha() else _PIECES(w)
+        for p in set().union(*pieces.values()).difference(known, found, new):
+            if (ids := older(p)) is not None:
+                found[p] = ids
+            else:
+                new.append(p)
+        keep(found)
+        keep(dict(zip(new, self._merged(new) if new else (), strict=True)))
+        keep({w: b"".join([known[p] for p in ps]) for w, ps in pieces.items() if w not in known})
         return known
 
     def _words(self, text: str) -> list[str]:
@@ -245,7 +239,7 @@ class BoundaryEncoder:
                 split.append(self._words(t))
             else:  # special tokens stand as their ids
                 split.append([w for x in self._special.split(t) for w in ([self.special[x]] if x in self.special else self._words(x))])
-        known = self._learn({w for words in split for w in words})
+        known = self._learn(set().union(*split))
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def encode(self, text: str) -> bytes:
