@@ -33,3 +33,10 @@ def test_a_vector_for_each_row(spark, several_labels):
     assert len(set(keys)) == len(keys) and any(":" in k for k in keys)
     got = queries()["clf_logistic"](spark, several_labels).collect()  # vectors of a text in two rows did not fit before
     assert sorted((r.doc, r.actual) for r in got) == sorted((r[0][:32], r[1]) for r in te.select(DOC, LABEL).collect())
+
+
+def test_the_grid_has_a_key_for_each_row(spark, several_labels, monkeypatch):
+    from emolens.plans import q_pipeline
+    monkeypatch.setattr(q_pipeline, "grid_search_bayes", lambda train, doc, *_: train.select(doc))
+    keys = [r[0] for r in q_pipeline.q_grid(spark, several_labels).collect()]  # one key for both rows of a text before
+    assert len(set(keys)) == len(keys) and any(":" in k for k in keys)
