@@ -22,8 +22,8 @@ stages' parameters as rows of ``stages``.  Loading reads the tables back; a
 reloaded pipeline scores raw rows by joins with them and needs neither the
 training rows nor the session that fitted it.
 
-Training rows are tokenised once and their assembled features materialised
-once; one (feature, class) aggregate of them serves chi² and Naive Bayes.
+Texts are features in blocks (`operators.term_blocks`), materialised once with
+the vocabulary's terms; one (feature, class) aggregate of them serves chi² and Naive Bayes.
 Tables that are broadcast have a bound by construction (one row per class,
 per numeric column, per component, or at most ``k`` selected features).
 """
@@ -42,6 +42,7 @@ from emolens.ml.naive_bayes import NaiveBayesLong
 from emolens.operators import features as X
 from emolens.operators.describe import NUMERIC_FEATURES
 from emolens.operators.quantiles import exact_mode
+from emolens.operators.term_blocks import Features, TextBlocks, TextFeatures, vocabulary_rows
 from emolens.session import cut_lineage
 
 TOKEN_BLOCK, UNSEEN = "4:", "4"
@@ -66,12 +67,9 @@ class Model:
 # ----------------------------------------------------------- feature blocks
 
 class TextModel(Model):
-    def counts(self, rows: DataFrame) -> DataFrame:
-        return X.term_counts(rows, self.params["doc"], self.params["text"], tuple(self.params["ngram"]))
-
-    def transform(self, rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-        counts = self.counts(rows) if counts is None else counts
-        return X.tfidf_long(counts, self.tables["vocabulary"], self.params["doc"])
+    def transform(self, rows: DataFrame) -> TextFeatures:
+        blocks = TextBlocks(rows, self.params["doc"], self.params["text"], tuple(self.params["ngram"]))
+        return blocks.weigh(blocks.lookup(self.tables["vocabulary"]))
 
 
 @dataclass(frozen=True)
@@ -83,12 +81,15 @@ class TextTfidf:
     max_df: float = 0.95
     max_features: int | None = None
 
-    def fit(self, rows: DataFrame) -> tuple[TextModel, DataFrame]:
-        """The model and the rows' features: their terms are counted once."""
-        tf = cut_lineage(X.term_counts(rows, self.doc, self.text, self.ngram))
-        vocab = X.fit_vocabulary(tf, self.doc, F.lit(float(rows.count())), self.min_df, self.max_df, self.max_features)
-        model = TextModel(asdict(self), {"vocabulary": cut_lineage(vocab.select("term", "df", "idf"))})
-        return model, model.transform(rows, tf)
+    def fit(self, rows: DataFrame) -> tuple[TextModel, TextFeatures]:
+        """The model and the rows' features."""
+        blocks = TextBlocks(rows, self.doc, self.text, self.ngram)
+        weights = blocks.fit(float(rows.count()), self.min_df, self.max_df)
+        vocab, only = vocabulary_rows(weights), None
+        if self.max_features is not None:
+            vocab = cut_lineage(X.most_frequent(vocab, self.max_features))
+            only = [r["term"] for r in vocab.select("term").collect()]  # max_features rows
+        return TextModel(asdict(self), {"vocabulary": vocab.select("term", "df", "idf")}), blocks.weigh(weights, only)
 
 
 class OneHotModel(Model):
@@ -165,7 +166,10 @@ class ScaledNumbers:
 # ---------------------------------------------------- selection, projection
 
 class SelectModel(Model):
-    def transform(self, features: DataFrame) -> DataFrame:
+    def transform(self, features: DataFrame | Features) -> DataFrame | Features:
+        """Of features, or of rows with a ``feature``, the selected ones."""
+        if isinstance(features, Features):
+            return features.only(self.tables["selected"])
         return features.join(F.broadcast(self.tables["selected"].select("feature")), "feature", "left_semi")
 
 
@@ -182,23 +186,17 @@ class SelectBest:
 
 
 class ProjectModel(Model):
-    def transform(self, features: DataFrame) -> DataFrame:
+    def transform(self, features: Features) -> DataFrame:
         """(doc, component, value) of documents with any known feature."""
         return self.arrays(features).select(self.params["doc"], F.posexplode("c").alias("component", "value"))
 
-    def arrays(self, features: DataFrame) -> DataFrame:
-        """(doc, c): the components of each document as an array.  A feature
-        row carries its weights as one array; rows are not multiplied."""
-        doc, k = self.params["doc"], self.params["components"]
-        weights = self.tables["weights"].groupBy("feature").agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("component", "weight"))), lambda x: x["weight"]).alias("w"))
-        rows = features.join(weights, "feature").groupBy(doc).agg(F.collect_list(F.struct("feature", "value", "w")).alias("r"))
-        zero = F.array_repeat(F.lit(0.0), k)
-        # added in the order of features, so that a sum never depends on the shuffle
-        total = F.aggregate(F.sort_array("r"), zero, lambda acc, x: F.zip_with(acc, x["w"], lambda a, b: a + x["value"] * b))
-        return rows.select(doc, total.alias("c"))
-
-    def vectors(self, features: DataFrame, rows: DataFrame) -> DataFrame:
+    def arrays(self, features: Features) -> DataFrame:
+        """(doc, c): the components of each document as an array."""
+        from emolens.ml.vectors import projected
+
+        return projected(features, self.tables["weights"], self.params["doc"], self.params["components"])
+
+    def vectors(self, features: Features, rows: DataFrame) -> DataFrame:
         """``rows`` with ``components``, scaled if the pipeline scales; a row
         without any known feature is projected to zero."""
         doc, k = self.params["doc"], self.params["components"]
@@ -217,7 +215,7 @@ class Project:
     components: int = 100
     scale: bool = False
 
-    def fit(self, features: DataFrame, select: SelectModel, docs: DataFrame) -> ProjectModel:
+    def fit(self, features: Features, select: SelectModel, docs: DataFrame) -> ProjectModel:
         """``features`` of the training rows ``docs``, already selected."""
         from emolens.ml.vectors import svd_fit, to_sparse
 
@@ -245,9 +243,9 @@ class Project:
 # --------------------------------------------------------------- classifiers
 
 class BayesModel(Model):
-    def predict(self, features: DataFrame, rows: DataFrame, output: str) -> DataFrame:
+    def predict(self, features: Features, rows: DataFrame, output: str) -> DataFrame:
         nb = NaiveBayesLong(self.params["classes"], self.tables["classes"], self.tables["gains"], "label")
-        return nb.predict(features, rows, self.params["doc"], output)
+        return nb.predict(features.long(), rows, self.params["doc"], output)
 
 
 @dataclass(frozen=True)
@@ -269,10 +267,11 @@ class NaiveBayes:
 
 
 class LinearModel(Model):
-    def predict(self, features: DataFrame, rows: DataFrame, output: str) -> DataFrame:
+    def predict(self, features: Features, rows: DataFrame, output: str) -> DataFrame:
         doc, classes = self.params["doc"], self.params["classes"]
         k = range(len(classes))
-        sums = features.join(self.tables["weights"], "feature").groupBy(doc).agg(
+        # a row per selected feature: bounded
+        sums = features.long().join(F.broadcast(self.tables["weights"]), "feature").groupBy(doc).agg(
             *[F.sum(F.col("value") * F.col("w")[i]).alias(f"_m{i}") for i in k])
         bias = {r["label"]: r["bias"] for r in self.tables["classes"].collect()}  # one row per class
         margin = F.array(*[F.lit(bias[c]) + F.coalesce(F.col(f"_m{i}"), F.lit(0.0)) for i, c in enumerate(classes)])
@@ -290,7 +289,7 @@ class Linear:
     params: tuple[tuple[str, float], ...] = (("C", 1.0), ("max_iter", 3000))
     balanced: bool = True
 
-    def fit(self, features: DataFrame, select: SelectModel, docs: DataFrame, label: str, classes: list[str]) -> LinearModel:
+    def fit(self, features: Features, select: SelectModel, docs: DataFrame, label: str, classes: list[str]) -> LinearModel:
         from emolens.ml.models import Candidate, make_estimator
         from emolens.ml.vectors import to_sparse
 
@@ -381,15 +380,16 @@ class PipelineModel:
 
     def features(self, rows: DataFrame) -> DataFrame:
         """The selected long-form features of raw rows."""
-        blocks = [self.stages[r].transform(rows) for r in ("text", "category", "numbers")]
-        out = blocks[0]
-        for b in blocks[1:]:
-            out = out.unionByName(b)
-        return self.stages["select"].transform(out)
+        return self.selected(rows).long()
+
+    def selected(self, rows: DataFrame) -> Features:
+        """The selected features of raw rows."""
+        text, category, numbers = (self.stages[r].transform(rows) for r in ("text", "category", "numbers"))
+        return self.stages["select"].transform(Features(text, category.unionByName(numbers)))
 
     def vectors(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``components``; of a dense pipeline."""
-        return self.stages["project"].vectors(self.features(rows), rows)
+        return self.stages["project"].vectors(self.selected(rows), rows)
 
     def transform(self, rows: DataFrame, output: str = "predicted") -> DataFrame:
         """``rows`` with a label each; needs the columns of the blocks and
@@ -397,7 +397,7 @@ class PipelineModel:
         classifier = self.stages["classifier"]
         if isinstance(classifier, SparkClassifier):
             return classifier.predict(self.vectors(rows), rows, output)
-        return classifier.predict(self.features(rows), rows, output)
+        return classifier.predict(self.selected(rows), rows, output)
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
@@ -438,21 +438,20 @@ class Pipeline:
         category, c = self.category.fit(train)
         numbers, n = self.numbers.fit(train)
         labels = train.select(doc, F.col(label).alias("label"))
-        whole = cut_lineage(t.unionByName(c).unionByName(n).join(labels, doc))
-        sums = cut_lineage(whole.groupBy("feature", "label").agg(F.sum("value").alias("o")))
+        whole = Features(t, cut_lineage(c.unionByName(n)))
+        sums = cut_lineage(whole.sums(labels, "label"))
         total = float(train.count())
         priors = cut_lineage(labels.groupBy("label").agg((F.count(F.lit(1)) / F.lit(total)).alias("p")))
         classes = [r[0] for r in priors.orderBy("label").collect()]  # one row per class
         select = self.select.fit(sums, priors)
         stages: dict[str, Model] = {"text": text, "category": category, "numbers": numbers, "select": select}
-        chosen = select.transform(whole.select(doc, "feature", "value"))
+        chosen = select.transform(whole)
         if isinstance(self.classifier, NaiveBayes):
             n_features = select.tables["selected"].count()
             stages["classifier"] = self.classifier.fit(select.transform(sums), priors, classes, n_features)
         elif isinstance(self.classifier, Linear):
             stages["classifier"] = self.classifier.fit(chosen, select, train, label, classes)
         else:
-            chosen = cut_lineage(chosen)
             stages["project"] = project = self.project.fit(chosen, select, train)
             vectors = project.vectors(chosen, train.select(doc, label))
             stages["classifier"] = self.classifier.fit(vectors, label, classes)
